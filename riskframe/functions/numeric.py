@@ -26,3 +26,16 @@ def sig_round_sql(expr: str, digits: int = SIG_DIGITS) -> str:
     k = f"{float(10 ** (digits - 1))!r}::DOUBLE"
     return (f"CAST(CASE WHEN ({expr}) IS NULL OR ({expr}) = 0 OR isnan({expr}) THEN ({expr}) "
             f"ELSE CAST(floor(({expr}) / {p} * {k} + 0.5::DOUBLE) AS DOUBLE) / {k} * {p} END AS DOUBLE)")
+
+
+def abs_round(c: Column | str, decimals: int = 6) -> Column:
+    """Round to fixed decimals with the same IEEE steps as ``abs_round_sql``
+    (for values near zero, where significant digits would amplify noise)."""
+    c = F.col(c) if isinstance(c, str) else c
+    k = float(10 ** decimals)
+    return (F.floor(c * F.lit(k) + F.lit(0.5)).cast("double") / F.lit(k)).cast("double")
+
+
+def abs_round_sql(expr: str, decimals: int = 6) -> str:
+    k = f"{float(10 ** decimals)!r}::DOUBLE"
+    return f"CAST(CAST(floor(({expr}) * {k} + 0.5::DOUBLE) AS DOUBLE) / {k} AS DOUBLE)"

@@ -35,7 +35,7 @@ def _clip(x: float) -> float:
 
 
 def exact_quantiles(long_df: DataFrame, probs: list[float], group_col: str = "column",
-                    value_col: str = "value", accuracy: int = 10000,
+                    value_col: str = "value", accuracy: int = 1000,
                     max_enumerate: int = 100000, max_rounds: int = 12) -> dict:
     """Return ``{group: {"n", "min", "max", q: value, ...}}`` for every group
     with at least one non-null value."""
@@ -61,56 +61,39 @@ def _select(spark, data: DataFrame, probs, accuracy, max_enumerate, max_rounds)
         F.percentile_approx("_v", req, accuracy).alias("pa")).collect()
 
     out: dict = {}
-    targets: dict = {}  # tid -> dict(g, r, lo, hi, mn, mx)
+    pending: dict = {}  # (group, rank) -> bracket state
     for row in stats:
         grp, n = row["_g"], row["n"]
         out[grp] = {"n": n, "min": row["mn"], "max": row["mx"]}
         approx = dict(zip(req, row["pa"]))
         for p in probs:
-            pos = (n - 1) * p
-            r0 = int(math.floor(pos))
+            r0 = int(math.floor((n - 1) * p))
             for r in {r0, min(r0 + 1, n - 1)}:
-                key = (grp, r)
-                if key not in targets:
-                    targets[key] = {"lo": approx[_clip(p - delta)], "hi": approx[_clip(p + delta)],
-                                    "mn": row["mn"], "mx": row["mx"]}
+                pending.setdefault((grp, r), {
+                    "lo": approx[_clip(p - delta)], "hi": approx[_clip(p + delta)],
+                    "mn": row["mn"], "mx": row["mx"],
+                    # rank width a verified bracket can span (approximation error)
+                    "size": n * (2 * delta + 2.0 / accuracy) + 2})
     values: dict = {}
-    pending = dict(targets)
     for _ in range(max_rounds):
         if not pending:
             break
-        keys = list(pending)
-        # exact verification counts for every pending bracket, one pass
-        aggs = []
-        for i, (grp, _r) in enumerate(keys):
-            t = pending[(grp, _r)]
-            in_g = F.col("_g") == F.lit(grp)
-            aggs.append(F.count_if(in_g & (F.col("_v") < F.lit(t["lo"]))).alias(f"b{i}"))
-            aggs.append(F.count_if(in_g & (F.col("_v") <= F.lit(t["hi"]))).alias(f"u{i}"))
-        counts = data.agg(*aggs).collect()[0]
-        enumerate_, narrow = [], []
-        for i, key in enumerate(keys):
-            t, r = pending[key], key[1]
-            below, upto = counts[f"b{i}"], counts[f"u{i}"]
-            if below <= r < upto:
-                t["below"], t["m"] = below, upto - below
-                if t["lo"] == t["hi"]:
-                    values[key] = t["lo"]
+        small = {k: t for k, t in pending.items() if t["size"] <= max_enumerate}
+        large = {k: t for k, t in pending.items() if t["size"] > max_enumerate}
+        if small:
+            for key, (side, val, below, m) in _resolve(spark, data, small).items():
+                t = pending[key]
+                if side == 1:
+                    values[key] = val
                     del pending[key]
-                elif t["m"] <= max_enumerate:
-                    enumerate_.append(key)
-                else:
-                    narrow.append(key)
-            elif r < below:
-                t["hi"], t["lo"] = t["lo"], t["mn"]
-            else:
-                t["lo"], t["hi"] = t["hi"], t["mx"]
-        if enumerate_:
-            values.update(_enumerate(spark, data, {k: pending[k] for k in enumerate_}))
-            for k in enumerate_:
-                del pending[k]
-        if narrow:
-            _narrow(spark, data, {k: pending[k] for k in narrow}, accuracy, delta)
+                else:  # bracket missed the rank: widen towards it, narrow next
+                    if side == 0:
+                        t["lo"], t["hi"] = t["mn"], t["lo"]
+                    else:
+                        t["lo"], t["hi"] = t["hi"], t["mx"]
+                    t["size"] = float("inf")
+        if large:
+            _narrow(spark, data, large, accuracy, delta)
     if pending:
         raise RuntimeError(f"quantile selection did not converge for {list(pending)[:3]}")
 
@@ -126,42 +109,65 @@ def _select(spark, data: DataFrame, probs, accuracy, max_enumerate, max_rounds)
 
 
 def _target_frame(spark, sub: dict):
-    rows = [(i, grp, int(r), float(t["lo"]), float(t["hi"]), int(t.get("below", 0)),
-             int(t.get("m", 0))) for i, ((grp, r), t) in enumerate(sub.items())]
-    return spark.createDataFrame(
-        rows, "tid int, _g string, r long, lo double, hi double, below long, m long"), list(sub)
+    rows = [(i, grp, int(r), float(t["lo"]), float(t["hi"]))
+            for i, ((grp, r), t) in enumerate(sub.items())]
+    return spark.createDataFrame(rows, "tid int, _g string, r long, lo double, hi double"), list(sub)
 
 
-def _in_bracket(data: DataFrame, tf: DataFrame) -> DataFrame:
-    # broadcast is bounded by the number of targets (groups x probabilities)
-    return data.join(F.broadcast(tf), "_g").where(
-        (F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi")))
+def _tagged(data: DataFrame, tf: DataFrame) -> DataFrame:
+    """Each row meets the few targets of its group (the target table is
+    bounded by #groups x 2 x #probs, so it is broadcast) and is tagged
+    0 below / 1 inside / 2 above the target's bracket."""
+    v = F.col("_v")
+    return data.join(F.broadcast(tf), "_g").withColumn(
+        "side", F.when(v < F.col("lo"), 0).when(v > F.col("hi"), 2).otherwise(1))
 
 
-def _enumerate(spark, data: DataFrame, sub: dict) -> dict:
+def _resolve(spark, data: DataFrame, sub: dict) -> dict:
+    """One pass: rows below/above a bracket collapse to one count each, rows
+    inside collapse to (value, count); a running count over that short list
+    finds the order statistic. Returns key -> (side, value, below, inside)."""
     tf, keys = _target_frame(spark, sub)
-    counted = (_in_bracket(data, tf).groupBy("tid", "r", "below", "_v").count())
-    w = Window.partitionBy("tid").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    picked = (counted.withColumn("cum", F.sum("count").over(w) + F.col("below"))
+    g = (_tagged(data, tf)
+         .withColumn("val", F.when(F.col("side") == 1, F.col("_v")))
+         .groupBy("tid", "r", "side", "val").count())
+    w = Window.partitionBy("tid").orderBy("side", "val").rowsBetween(Window.unboundedPreceding, 0)
+    w_all = Window.partitionBy("tid")
+    picked = (g.withColumn("cum", F.sum("count").over(w))
+              .withColumn("below", F.sum(F.when(F.col("side") == 0, F.col("count")).otherwise(0)).over(w_all))
+              .withColumn("inside", F.sum(F.when(F.col("side") == 1, F.col("count")).otherwise(0)).over(w_all))
               .where(F.col("cum") > F.col("r"))
-              .groupBy("tid").agg(F.min("_v").alias("val")).collect())
-    return {keys[row["tid"]]: row["val"] for row in picked}
+              .groupBy("tid")
+              .agg(F.min_by(F.struct("side", "val", "below", "inside"),
+                            F.struct("side", "val")).alias("hit"))
+              .collect())
+    return {keys[row["tid"]]: tuple(row["hit"]) for row in picked}
 
 
 def _narrow(spark, data: DataFrame, sub: dict, accuracy: int, delta: float,
             grid: int = 200) -> None:
-    """Shrink every oversized bracket in one aggregation: ``percentile_approx``
-    needs literal probabilities, so each bracket is summarised on a fixed grid
-    and the new bracket spans the grid cells around the relative target."""
+    """Shrink oversized brackets in one aggregation: exact counts below and
+    inside each bracket plus a ``percentile_approx`` grid over the inside rows
+    (the function needs literal probabilities, hence the fixed grid)."""
     tf, keys = _target_frame(spark, sub)
     probs = [i / grid for i in range(grid + 1)]
-    res = (_in_bracket(data, tf).groupBy("tid")
-           .agg(F.percentile_approx("_v", probs, accuracy).alias("pa")).collect())
+    res = (_tagged(data, tf).groupBy("tid").agg(
+        F.count_if(F.col("side") == 0).alias("below"),
+        F.count_if(F.col("side") == 1).alias("inside"),
+        F.percentile_approx(F.when(F.col("side") == 1, F.col("_v")), probs, accuracy).alias("pa"))
+        .collect())
     for row in res:
         key = keys[row["tid"]]
-        t = sub[key]
-        rel = (key[1] - t["below"] + 0.5) / t["m"]
-        slack = grid * delta + 1
-        lo_i = max(0, int(math.floor(rel * grid - slack)))
-        hi_i = min(grid, int(math.ceil(rel * grid + slack)))
-        t["lo"], t["hi"] = row["pa"][lo_i], row["pa"][hi_i]
+        t, r = sub[key], key[1]
+        below, inside = row["below"], row["inside"]
+        if r < below:
+            t["lo"], t["hi"], t["size"] = t["mn"], t["lo"], float("inf")
+        elif r >= below + inside:
+            t["lo"], t["hi"], t["size"] = t["hi"], t["mx"], float("inf")
+        else:
+            rel = (r - below + 0.5) / inside
+            slack = grid * delta + 1
+            lo_i = max(0, int(math.floor(rel * grid - slack)))
+            hi_i = min(grid, int(math.ceil(rel * grid + slack)))
+            t["lo"], t["hi"] = row["pa"][lo_i], row["pa"][hi_i]
+            t["size"] = inside * (hi_i - lo_i + 2.0) / grid + inside * 2.0 / accuracy + 2

@@ -255,3 +255,20 @@ def with_class_weights(df: DataFrame, label: str, weight_col: str = "weight") ->
     per class, so the broadcast is bounded by the number of classes."""
     w = class_weights_balanced(df, label).withColumnRenamed("weight", weight_col)
     return df.join(F.broadcast(w), label, "left")
+
+
+def outlier_rows(df: DataFrame, fence_frame: DataFrame) -> DataFrame:
+    """Rows outside the fences (x < lower or x > upper) per column, one pass.
+    The fence table has one row per column; its values become literals."""
+    b = {r["column"]: (r["lower"], r["upper"]) for r in fence_frame.collect()}
+    wide = df.agg(*[F.count_if((F.col(c) < F.lit(lo)) | (F.col(c) > F.lit(hi))).alias(c)
+                    for c, (lo, hi) in b.items()])
+    return wide.unpivot([], list(b), "column", "n_outliers")
+
+
+def outlier_filter(df: DataFrame, fence_frame: DataFrame) -> DataFrame:
+    """Keep rows inside every column's fences (null compares false: dropped)."""
+    cond = F.lit(True)
+    for r in fence_frame.collect():
+        cond = cond & F.col(r["column"]).between(F.lit(r["lower"]), F.lit(r["upper"]))
+    return df.where(cond)

@@ -29,3 +29,17 @@ def train_test_tables(spark: SparkSession, sf_dir: str):
 
 PROFILE_COLUMNS = [*tables.NUMERIC_COLUMNS, tables.LABEL]
 STRING_COLUMNS = [*tables.CATEGORY_COLUMNS, *tables.MEASURE_COLUMNS, *tables.FLAG_COLUMNS]
+
+
+SCORE_SEED = 7
+
+
+def scored_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(policy_id, label, score) with a deterministic score computed from the
+    row (a hash term plus a feature term, many ties), so every metric can be
+    checked against SQL before any model exists."""
+    from pyspark.sql import functions as F
+    from riskframe.functions.hashing import uniform_hash
+    p = policies(spark, sf_dir)
+    score = (F.floor(uniform_hash(tables.KEY, SCORE_SEED) * 50) + F.col("n_lines") * 10) / 130
+    return p.select(tables.KEY, F.col(tables.LABEL).alias("label"), score.alias("score"))

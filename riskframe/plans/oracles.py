@@ -188,3 +188,188 @@ SELECT *, 'train' AS only_in FROM (SELECT * FROM la EXCEPT SELECT * FROM lb)
 UNION ALL
 SELECT *, 'test' AS only_in FROM (SELECT * FROM lb EXCEPT SELECT * FROM la)
 """)
+
+
+# --- scalar cleaning and fitted features -------------------------------------
+
+from riskframe.functions.hashing import hash_hex_sql, uniform_hash_sql  # noqa: E402
+from riskframe.functions.numeric import abs_round_sql as AR  # noqa: E402
+from riskframe.operators.features import _term_name, poly_names  # noqa: E402
+from riskframe.plans.queries import (ANOVA_COLUMNS, INTERACTION_COLUMNS, ONE_HOT_COLUMNS,  # noqa: E402
+                                     OUTLIER_COLUMNS, POLY_COLUMNS, SCALE_COLUMNS, SWEEP)
+
+oracle("yes_no_to_int", "SELECT policy_id, CAST(CASE WHEN is_esc = 'Yes' THEN 1 "
+                        "WHEN is_esc = 'No' THEN 0 END AS INTEGER) AS is_esc FROM policies")
+
+
+def _measure(col: str, prefix: str) -> str:
+    part = lambda i: f"nullif(split_part({col}, '@', {i}), '')"
+    num = lambda i: f"CAST(nullif(regexp_extract({part(i)}, '([0-9.]+)', 1), '') AS DOUBLE)"
+    return (f"{S(num(1))} AS {prefix}, nullif(regexp_extract({part(1)}, '([a-zA-Z]+)', 1), '') "
+            f"AS {prefix}_unit, {S(num(2))} AS {prefix}_rpm")
+
+
+oracle("parse_measure", f"SELECT policy_id, {_measure('max_torque', 'Torque')}, "
+                        f"{_measure('max_power', 'Power')} FROM policies")
+oracle("one_hot", f"""
+, long AS ({' UNION ALL '.join(f"SELECT policy_id, '{c}' AS col, CAST({c} AS VARCHAR) AS v FROM policies" for c in ONE_HOT_COLUMNS)}),
+cats AS (SELECT DISTINCT col, v AS cat FROM long WHERE v IS NOT NULL)
+SELECT l.policy_id, c.col || '_' || c.cat AS feature,
+       CAST(coalesce(l.v = c.cat, false) AS INTEGER) AS value
+FROM long l JOIN cats c ON l.col = c.col
+""")
+oracle("bool_to_int", "SELECT policy_id, CAST(n_lines >= 4 AS INTEGER) AS many_lines FROM policies")
+
+_fw = ", ".join(f"quantile_cont({c}, 0.25) AS q1_{c}, quantile_cont({c}, 0.5) AS med_{c}, "
+                f"quantile_cont({c}, 0.75) AS q3_{c}" for c in OUTLIER_COLUMNS)
+
+
+def _lo(c):
+    return f"(q1_{c} - 1.5 * (q3_{c} - q1_{c}))"
+
+
+def _hi(c):
+    return f"(q3_{c} + 1.5 * (q3_{c} - q1_{c}))"
+
+
+oracle("outlier_to_median", f"""
+, fw AS (SELECT {_fw} FROM policies)
+SELECT policy_id, {', '.join(S(f'CASE WHEN {c} < {_lo(c)} OR {c} > {_hi(c)} THEN med_{c} ELSE CAST({c} AS DOUBLE) END') + f' AS {c}' for c in OUTLIER_COLUMNS)}
+FROM policies, fw
+""")
+oracle("outlier_rows", f"""
+, fw AS (SELECT {_fw} FROM policies)
+{' UNION ALL '.join(f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} < {_lo(c)} OR {c} > {_hi(c)}) AS n_outliers FROM policies, fw" for c in OUTLIER_COLUMNS)}
+""")
+oracle("outlier_filter", f"""
+, fw AS (SELECT {_fw} FROM policies)
+SELECT policy_id, {', '.join(S(f'CAST({c} AS DOUBLE)') + f' AS {c}' if c in DOUBLE_COLUMNS else c for c in OUTLIER_COLUMNS)}
+FROM policies, fw WHERE {' AND '.join(f'{c} BETWEEN {_lo(c)} AND {_hi(c)}' for c in OUTLIER_COLUMNS)}
+""")
+
+
+def _scaled(c):
+    sd = f"stddev_pop({c}) OVER ()"
+    return AR(f"(CAST({c} AS DOUBLE) - avg({c}) OVER ()) / (CASE WHEN {sd} = 0 OR {sd} IS NULL THEN 1 ELSE {sd} END)")
+
+
+oracle("standard_scale", f"SELECT policy_id, {', '.join(_scaled(c) + f' AS {c}' for c in SCALE_COLUMNS)} FROM policies")
+
+
+def _poly_sql(cols, interaction_only):
+    out = []
+    for term in poly_names(cols, 2, interaction_only):
+        if len(term) == 1:
+            out.append(cols_sql([term[0]]))
+        else:
+            out.append(S(" * ".join(f"CAST({t} AS DOUBLE)" for t in term)) + f" AS {_term_name(term)}")
+    return f"SELECT policy_id, {', '.join(out)} FROM policies"
+
+
+oracle("poly_features", _poly_sql(POLY_COLUMNS, False))
+oracle("interaction_features", _poly_sql(INTERACTION_COLUMNS, True))
+
+_ANOVA = f"""
+, long AS ({' UNION ALL '.join(f"SELECT is_claim AS y, '{c}' AS feature, CAST({c} AS DOUBLE) AS x FROM policies" for c in ANOVA_COLUMNS)}),
+per AS (SELECT feature, y, count(x) AS n, avg(x) AS m, var_pop(x) AS v FROM long WHERE x IS NOT NULL GROUP BY 1, 2),
+tot AS (SELECT feature, sum(n) AS nn, count(*) AS k, sum(n * m) / sum(n) AS gm FROM per GROUP BY 1),
+ss AS (SELECT p.feature, t.nn, t.k, sum(p.n * (p.m - t.gm) * (p.m - t.gm)) AS ssb, sum(p.n * p.v) AS ssw
+       FROM per p JOIN tot t USING (feature) GROUP BY 1, 2, 3),
+fs AS (SELECT feature, (ssb / (k - 1)) / nullif(ssw / (nn - k), 0) AS f FROM ss)
+"""
+oracle("anova_f_scores", _ANOVA + f"SELECT feature, {S('f')} AS f_score FROM fs")
+oracle("select_k_best", _ANOVA + """
+SELECT rank, feature FROM (
+  SELECT CAST(row_number() OVER (ORDER BY f DESC NULLS LAST, feature) AS INTEGER) AS rank, feature FROM fs)
+WHERE rank <= 3""")
+oracle("hstack_by_key", f"SELECT policy_id, segment, is_claim, {_scaled('policy_tenure')} AS policy_tenure FROM policies")
+
+# --- splits -------------------------------------------------------------------
+
+_H = hash_hex_sql("policy_id", 17)
+oracle("train_test_split", f"""
+SELECT policy_id, is_claim,
+       CASE WHEN row_number() OVER (ORDER BY {_H}, policy_id) - 1 < ceil(0.3 * count(*) OVER ())
+            THEN 'test' ELSE 'train' END AS split
+FROM policies""")
+oracle("stratified_kfold", f"""
+SELECT policy_id, is_claim,
+       CAST((row_number() OVER (PARTITION BY is_claim ORDER BY {_H}, policy_id) - 1) % 5 AS INTEGER) AS fold
+FROM policies""")
+oracle("stratified_sample", f"""
+SELECT policy_id, is_claim FROM (
+  SELECT policy_id, is_claim, row_number() OVER (PARTITION BY is_claim ORDER BY {_H}, policy_id) - 1 AS rk,
+         count(*) OVER (PARTITION BY is_claim) AS nc FROM policies)
+WHERE rk < floor(0.3 * nc + 0.5)""")
+
+# --- evaluation on a deterministic score -----------------------------------------
+
+_SCORED = (f", scored AS (SELECT policy_id, is_claim AS label, "
+           f"(floor({uniform_hash_sql('policy_id', 7)} * 50) + n_lines * 10) / 130 AS score FROM policies)")
+
+
+def _cells_sql(thr):
+    return (f"count(*) FILTER (WHERE label = 1 AND score >= {thr}) AS tp, "
+            f"count(*) FILTER (WHERE label = 0 AND score >= {thr}) AS fp, "
+            f"count(*) FILTER (WHERE label = 0 AND score < {thr}) AS tn, "
+            f"count(*) FILTER (WHERE label = 1 AND score < {thr}) AS fn")
+
+
+def _div(a, b):
+    return f"coalesce(CAST({a} AS DOUBLE) / nullif({b}, 0), 0.0)"
+
+
+_ACC, _PRE = _div("tp + tn", "tp + fp + tn + fn"), _div("tp", "tp + fp")
+_REC, _F1 = _div("tp", "tp + fn"), _div("2 * tp", "2 * tp + fp + fn")
+
+oracle("confusion_matrix", _SCORED + f"""
+, c AS (SELECT {_cells_sql(0.5)} FROM scored)
+SELECT 0 AS label, 0 AS pred, tn AS count FROM c UNION ALL SELECT 0, 1, fp FROM c
+UNION ALL SELECT 1, 0, fn FROM c UNION ALL SELECT 1, 1, tp FROM c""")
+oracle("binary_metrics", _SCORED + f"""
+, c AS (SELECT {_cells_sql(0.5)} FROM scored)
+SELECT {S(_ACC)} AS accuracy, {S(_PRE)} AS precision_1, {S(_REC)} AS recall_1, {S(_F1)} AS f1_1,
+       tp, fp, tn, fn FROM c""")
+_p0, _r0, _f0 = _div("tn", "tn + fn"), _div("tn", "tn + fp"), _div("2 * tn", "2 * tn + fn + fp")
+oracle("classification_report", _SCORED + f"""
+, c AS (SELECT {_cells_sql(0.5)} FROM scored),
+m AS (SELECT {_p0} AS p0, {_r0} AS r0, {_f0} AS f0, tn + fp AS s0, {_PRE} AS p1, {_REC} AS r1,
+             {_F1} AS f1, tp + fn AS s1, {_ACC} AS acc, tp + fn + tn + fp AS n FROM c)
+SELECT '0' AS class, {S('p0')} AS precision, {S('r0')} AS recall, {S('f0')} AS f1, s0 AS support FROM m
+UNION ALL SELECT '1', {S('p1')}, {S('r1')}, {S('f1')}, s1 FROM m
+UNION ALL SELECT 'accuracy', NULL, NULL, {S('acc')}, n FROM m
+UNION ALL SELECT 'macro avg', {S('(p0 + p1) / 2')}, {S('(r0 + r1) / 2')}, {S('(f0 + f1) / 2')}, n FROM m
+UNION ALL SELECT 'weighted avg', {S(_div('p0 * s0 + p1 * s1', 'n'))}, {S(_div('r0 * s0 + r1 * s1', 'n'))},
+                 {S(_div('f0 * s0 + f1 * s1', 'n'))}, n FROM m""")
+_CUM = _SCORED + """
+, per AS (SELECT score AS threshold, count(*) FILTER (WHERE label = 1) AS pos,
+                 count(*) FILTER (WHERE label = 0) AS neg FROM scored GROUP BY 1),
+cum AS (SELECT threshold, pos, neg,
+               sum(pos) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS cp,
+               sum(neg) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS cn FROM per),
+tot AS (SELECT sum(pos) AS pp, sum(neg) AS nn FROM per)"""
+oracle("roc_curve", _CUM + f"\nSELECT {S('threshold')} AS threshold, {S('cn / nn')} AS fpr, {S('cp / pp')} AS tpr FROM cum, tot")
+oracle("auc", _CUM + f"\nSELECT {S('sum(neg * (cp - pos + pos / 2.0)) / (max(pp) * max(nn))')} AS auc FROM cum, tot")
+_PR = _CUM + ", pr AS (SELECT threshold, cp / (cp + cn) AS precision, cp / pp AS recall FROM cum, tot)"
+oracle("pr_curve", _PR + f"\nSELECT {S('threshold')} AS threshold, {S('precision')} AS precision, {S('recall')} AS recall FROM pr")
+
+
+def _eval_sql(thr, extra=""):
+    return (f"SELECT CAST({thr!r} AS DOUBLE) AS threshold, {S(_ACC)} AS accuracy, {S(_PRE)} AS precision_1, "
+            f"{S(_REC)} AS recall_1{extra} FROM (SELECT {_cells_sql(thr)} FROM scored)")
+
+
+oracle("eval_at_threshold", _SCORED + "\n" + _eval_sql(0.4))
+oracle("threshold_for_target_recall", _PR + f"\nSELECT {S('coalesce(max(threshold) FILTER (WHERE recall >= 0.7), 0.5)')} AS threshold FROM pr")
+oracle("sweep_thresholds", _SCORED + "\n" + " UNION ALL ".join(_eval_sql(t) for t in SWEEP))
+oracle("best_f1_threshold", _PR + f"""
+, pf AS (SELECT threshold, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0.0) AS f1 FROM pr)
+SELECT {S('threshold')} AS threshold, {S('f1')} AS f1 FROM pf ORDER BY f1 DESC, threshold DESC LIMIT 1""")
+oracle("model_comparison", _SCORED + "\n" + " UNION ALL ".join(
+    f"SELECT *, 'score@{t}' AS model, {S(_div('2 * precision_1 * recall_1', 'precision_1 + recall_1'))} AS f1_1 "
+    f"FROM ({_eval_sql(t)})" for t in (0.5, 0.3)))
+oracle("concat_results", _SCORED + f"""
+SELECT * FROM (SELECT *, 'sweep' AS "group" FROM ({_eval_sql(0.5)} UNION ALL {_eval_sql(0.4)}))
+UNION ALL BY NAME
+SELECT {S(_ACC)} AS accuracy, {S(_PRE)} AS precision_1, {S(_REC)} AS recall_1, {S(_F1)} AS f1_1,
+       tp, fp, tn, fn, 'single' AS "group" FROM (SELECT {_cells_sql(0.3)} FROM scored)""")

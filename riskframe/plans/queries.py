@@ -148,3 +148,197 @@ def q_compare_profiles(spark, sf):
 def q_category_diff(spark, sf):
     train, test = train_test_tables(spark, sf)
     return compare.category_diff(train, test, ["area_cluster", "segment", "max_torque", "is_esc"])
+
+
+# --- scalar cleaning and fitted features -------------------------------------
+
+from riskframe.functions import measures as M  # noqa: E402
+from riskframe.functions.numeric import abs_round  # noqa: E402
+from riskframe.operators import features as FE, sampling as SA, evaluate as EV  # noqa: E402
+from riskframe.plans.common import scored_fixture  # noqa: E402
+
+OUTLIER_COLUMNS = ["age_of_car", "age_of_policyholder", "policy_tenure"]
+SCALE_COLUMNS = ["policy_tenure", "age_of_policyholder", "age_of_car", "n_lines"]
+POLY_COLUMNS = ["policy_tenure", "age_of_car", "n_lines"]
+INTERACTION_COLUMNS = ["policy_tenure", "age_of_policyholder", "age_of_car", "n_lines"]
+ONE_HOT_COLUMNS = ["area_cluster", "segment", "is_esc"]
+ANOVA_COLUMNS = NUMERIC_COLUMNS
+
+
+@query("yes_no_to_int")
+def q_yes_no(spark, sf):
+    return policies(spark, sf).select(KEY, M.yes_no_to_int("is_esc").alias("is_esc"))
+
+
+@query("parse_measure")
+def q_parse_measure(spark, sf):
+    p = policies(spark, sf).select(KEY, "max_torque", "max_power")
+    p = M.parse_measure(M.parse_measure(p, "max_torque", "Torque"), "max_power", "Power")
+    return rounded(p)
+
+
+@query("one_hot")
+def q_one_hot(spark, sf):
+    p = policies(spark, sf)
+    model = FE.OneHot(ONE_HOT_COLUMNS).fit(p)
+    cols = model.output_columns()
+    return model.transform(p).select(KEY, *cols).unpivot([KEY], cols, "feature", "value")
+
+
+@query("bool_to_int")
+def q_bool_to_int(spark, sf):
+    p = policies(spark, sf).select(KEY, (F.col("n_lines") >= 4).alias("many_lines"))
+    return frames.bool_to_int(p)
+
+
+@query("outlier_to_median")
+def q_outlier_to_median(spark, sf):
+    p = policies(spark, sf)
+    model = FE.OutlierToMedian(OUTLIER_COLUMNS).fit(p)
+    return rounded(model.transform(p).select(KEY, *OUTLIER_COLUMNS))
+
+
+@query("outlier_rows")
+def q_outlier_rows(spark, sf):
+    p = policies(spark, sf)
+    return profile.outlier_rows(p, profile.fences(p, OUTLIER_COLUMNS))
+
+
+@query("outlier_filter")
+def q_outlier_filter(spark, sf):
+    p = policies(spark, sf)
+    kept = profile.outlier_filter(p, profile.fences(p, OUTLIER_COLUMNS))
+    return rounded(kept.select(KEY, *OUTLIER_COLUMNS))
+
+
+@query("standard_scale")
+def q_standard_scale(spark, sf):
+    p = policies(spark, sf)
+    out = FE.StandardScale(SCALE_COLUMNS).fit(p).transform(p)
+    return out.select(KEY, *[abs_round(c).alias(c) for c in SCALE_COLUMNS])
+
+
+@query("poly_features")
+def q_poly_features(spark, sf):
+    t = FE.PolyFeatures(POLY_COLUMNS, 2)
+    return rounded(t.transform(policies(spark, sf)).select(KEY, *t.output_columns()))
+
+
+@query("interaction_features")
+def q_interaction_features(spark, sf):
+    t = FE.Interactions(INTERACTION_COLUMNS)
+    return rounded(t.transform(policies(spark, sf)).select(KEY, *t.output_columns()))
+
+
+@query("anova_f_scores")
+def q_anova(spark, sf):
+    return rounded(FE.anova_f_scores(policies(spark, sf), ANOVA_COLUMNS, LABEL))
+
+
+@query("select_k_best")
+def q_select_k_best(spark, sf):
+    model = FE.SelectKBest(ANOVA_COLUMNS, LABEL, k=3, keep=[KEY]).fit(policies(spark, sf))
+    return spark.createDataFrame([(i + 1, f) for i, f in enumerate(model.selected)],
+                                 "rank int, feature string")
+
+
+@query("pca")
+def q_pca(spark, sf):
+    p = policies(spark, sf).fillna(0, subset=["qty", "price", "disc"])
+    model = FE.CenteredPCA(["n_lines", "qty", "price", "disc"], k=2).fit(p)
+    return model.transform(p).select(KEY, "PC1", "PC2")
+
+
+@query("hstack_by_key")
+def q_hstack(spark, sf):
+    p = policies(spark, sf)
+    scaled = FE.StandardScale(["policy_tenure"]).fit(p).transform(p).select(
+        KEY, abs_round("policy_tenure").alias("policy_tenure"))
+    return compare.hstack_by_key([p.select(KEY, "segment", LABEL), scaled], KEY)
+
+
+# --- splits -------------------------------------------------------------------
+
+@query("train_test_split")
+def q_train_test_split(spark, sf):
+    return SA.train_test_split(policies(spark, sf).select(KEY, LABEL), KEY, 0.3, 17)
+
+
+@query("stratified_kfold")
+def q_stratified_kfold(spark, sf):
+    return SA.stratified_kfold(policies(spark, sf).select(KEY, LABEL), KEY, LABEL, 5, 17)
+
+
+@query("stratified_sample")
+def q_stratified_sample(spark, sf):
+    return SA.stratified_sample(policies(spark, sf).select(KEY, LABEL), KEY, LABEL, 0.3, 17)
+
+
+# --- evaluation on a deterministic score -----------------------------------------
+
+SWEEP = [0.5, 0.45, 0.4, 0.35, 0.3]
+
+
+@query("confusion_matrix")
+def q_confusion(spark, sf):
+    return EV.confusion_matrix(EV.at_threshold(scored_fixture(spark, sf), 0.5))
+
+
+@query("binary_metrics")
+def q_binary_metrics(spark, sf):
+    return rounded(EV.binary_metrics(EV.at_threshold(scored_fixture(spark, sf), 0.5)))
+
+
+@query("classification_report")
+def q_report(spark, sf):
+    return rounded(EV.classification_report(EV.at_threshold(scored_fixture(spark, sf), 0.5)))
+
+
+@query("roc_curve")
+def q_roc(spark, sf):
+    return rounded(EV.roc_curve(scored_fixture(spark, sf)))
+
+
+@query("auc")
+def q_auc(spark, sf):
+    return rounded(EV.auc(scored_fixture(spark, sf)))
+
+
+@query("pr_curve")
+def q_pr(spark, sf):
+    return rounded(EV.pr_curve(scored_fixture(spark, sf)))
+
+
+@query("eval_at_threshold")
+def q_eval_at_threshold(spark, sf):
+    return rounded(EV.eval_at_threshold(scored_fixture(spark, sf), 0.4))
+
+
+@query("threshold_for_target_recall")
+def q_target_recall(spark, sf):
+    return rounded(EV.threshold_for_target_recall(scored_fixture(spark, sf), 0.70, 0.50))
+
+
+@query("sweep_thresholds")
+def q_sweep(spark, sf):
+    return rounded(EV.sweep_thresholds(scored_fixture(spark, sf), SWEEP))
+
+
+@query("best_f1_threshold")
+def q_best_f1(spark, sf):
+    return rounded(EV.best_f1_threshold(scored_fixture(spark, sf)))
+
+
+@query("model_comparison")
+def q_model_comparison(spark, sf):
+    s = scored_fixture(spark, sf)
+    rows = [EV.eval_at_threshold(s, t).withColumn("model", F.lit(f"score@{t}")) for t in (0.5, 0.3)]
+    return rounded(EV.model_comparison(rows))
+
+
+@query("concat_results")
+def q_concat_results(spark, sf):
+    s = scored_fixture(spark, sf)
+    return rounded(compare.concat_results(
+        [EV.sweep_thresholds(s, [0.5, 0.4]), EV.binary_metrics(EV.at_threshold(s, 0.3))],
+        ["sweep", "single"], "group"))
