@@ -13,7 +13,9 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.functions.hashing import hash_hex
+from pyspark.sql import types as T
+
+from riskframe.functions.hashing import hash_hex, uniform_hash
 from riskframe.functions.prefix import rank_within
 
 
@@ -54,3 +56,60 @@ def stratified_sample(df: DataFrame, key: str, label: str, frac: float, seed: in
         cond = c if cond is None else (cond | c)
     ranked = _ranked(df, key, seed, [label])
     return ranked.where(cond if cond is not None else F.lit(False)).drop("_h", "_rank")
+
+
+def smote(df: DataFrame, key: str, label: str, features: list[str], k: int = 5,
+          strategy: float = 1.0, seed: int = 17, minority=1) -> DataFrame:
+    """Synthetic minority rows until minority = strategy x majority.
+
+    Each minority row r (exact rank in hash order) makes
+    floor((r+1)s/m) - floor(rs/m) of the s synthetic rows (m minority rows),
+    so the total is exact and spread evenly; synthetic row j of row x takes
+    neighbour floor(u1 * k) of x's k nearest minority rows and the point
+    x + u2 (x_nn - x), with u1, u2 hashes of (key, j). Neighbours come from the
+    exact ``knn_join``; everything else is joins and projections."""
+    from riskframe.operators.knn import knn_join
+    sizes = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
+    n_min = sizes.get(minority, 0)
+    n_maj = max([n for c, n in sizes.items() if c != minority] or [0])
+    n_syn = max(0, int(strategy * n_maj) - n_min)
+    if n_syn == 0 or n_min < 2:
+        return df
+    kk = min(k, n_min - 1)
+    mino = df.where(F.col(label) == F.lit(minority)).select(
+        F.col(key).cast("string").alias("_id"),
+        F.array(*[F.col(c).cast("double") for c in features]).alias("_x"))
+    nn = knn_join(mino, mino, kk, qkey="_id", rkey="_id", vec="_x", exclude_self=True, seed=seed)
+    ranked = _ranked(mino, "_id", seed, None)
+    per = F.floor((F.col("_rank") + 1) * F.lit(n_syn) / F.lit(n_min)) - F.floor(
+        F.col("_rank") * F.lit(n_syn) / F.lit(n_min))
+    base = (ranked.withColumn("_m", per.cast("int")).where(F.col("_m") > 0)
+            .withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_m") - 1))))
+    tag = F.concat(F.col("_id"), F.lit("#"), F.col("_j").cast("string"))
+    base = (base.withColumn("rank", (F.floor(uniform_hash(tag, seed) * kk) + 1).cast("int"))
+            .withColumn("_u", uniform_hash(tag, seed + 1)))
+    partner = mino.select(F.col("_id").alias("nn"), F.col("_x").alias("_xn"))
+    syn = (base.join(nn, ["_id", "rank"]).join(partner, "nn")
+           .withColumn("_new", F.zip_with("_x", "_xn", lambda a, b: a + F.col("_u") * (b - a))))
+    key_type = df.schema[key].dataType
+    out = syn.select(
+        F.concat(F.col("_id"), F.lit("_syn"), F.col("_j").cast("string")).cast(key_type).alias(key)
+        if isinstance(key_type, T.StringType) else
+        (-(F.xxhash64(tag).cast("long"))).cast(key_type).alias(key),
+        F.lit(minority).cast(df.schema[label].dataType).alias(label),
+        *[F.col("_new")[i].alias(c) for i, c in enumerate(features)])
+    cast_df = df.select(*[F.col(c).cast("double").alias(c) if c in features else F.col(c)
+                          for c in df.columns])
+    return cast_df.unionByName(out, allowMissingColumns=True)
+
+
+class ResampleThenFit:
+    """Estimator whose ``fit`` resamples the training rows, then fits the
+    wrapped estimator; the fitted model never resamples (scoring rows stay
+    untouched), so resampling happens inside training folds only."""
+
+    def __init__(self, resample, estimator):
+        self.resample, self.estimator = resample, estimator
+
+    def fit(self, df: DataFrame):
+        return self.estimator.fit(self.resample(df))
