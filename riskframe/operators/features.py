@@ -183,12 +183,16 @@ def anova_f_scores(df: DataFrame, features: list[str], label: str) -> DataFrame:
 class SelectKBest(Estimator):
     """Keep the ``k`` features with the largest F (ties by name)."""
 
-    def __init__(self, features: list[str], label: str, k: int = 20, keep: list[str] | None = None):
+    def __init__(self, features: list[str] | None, label: str, k: int = 20,
+                 keep: list[str] | None = None):
         super().__init__()
         self.features, self.label, self.k, self.keep = features, label, k, keep or []
 
     def _fit(self, df: DataFrame) -> "SelectKBestModel":
-        top = (anova_f_scores(df, self.features, self.label)
+        from riskframe.operators.frames import dtype_columns
+        feats = self.features or [c for c in dtype_columns(df, "number")
+                                  if c not in self.keep and c != self.label]
+        top = (anova_f_scores(df, feats, self.label)
                .orderBy(F.col("f_score").desc_nulls_last(), F.col("feature")).limit(self.k)
                .collect())
         return SelectKBestModel([r["feature"] for r in top], self.keep + [self.label])
@@ -258,3 +262,17 @@ def assemble(df: DataFrame, cols: list[str], out: str = "features",
              handle_invalid: str = "error") -> DataFrame:
     """Columns -> one ``VectorUDT`` column for the JVM learners."""
     return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid=handle_invalid).transform(df)
+
+
+class AssembleAll(Transformer):
+    """Assemble every numeric column except ``exclude`` (column set known only
+    after upstream stages are fitted) into one vector column."""
+
+    def __init__(self, exclude: list[str], out: str = "features"):
+        super().__init__()
+        self.exclude, self.out = exclude, out
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        from riskframe.operators.frames import dtype_columns
+        cols = [c for c in dtype_columns(df, "number") if c not in self.exclude]
+        return assemble(df, cols, self.out)

@@ -191,12 +191,12 @@ class GaussianNb(Estimator):
 
 
 class GaussianNbModel(Model):
-    def __init__(self, cols, params):
+    def __init__(self, cols, class_params):
         super().__init__()
-        self.cols, self.params = cols, params
+        self.cols, self.class_params = cols, class_params
 
     def joint_log_likelihood(self, cls) -> F.Column:
-        prior, stats = self.params[cls]
+        prior, stats = self.class_params[cls]
         expr = F.lit(prior)
         for c, (m, v) in zip(self.cols, stats):
             expr = expr - F.lit(0.5 * math.log(2 * math.pi * v)) - (

@@ -373,3 +373,48 @@ SELECT * FROM (SELECT *, 'sweep' AS "group" FROM ({_eval_sql(0.5)} UNION ALL {_e
 UNION ALL BY NAME
 SELECT {S(_ACC)} AS accuracy, {S(_PRE)} AS precision_1, {S(_REC)} AS recall_1, {S(_F1)} AS f1_1,
        tp, fp, tn, fn, 'single' AS "group" FROM (SELECT {_cells_sql(0.3)} FROM scored)""")
+
+
+# --- model-side queries that SQL can express --------------------------------------
+
+from riskframe.plans.queries import NB_COLUMNS  # noqa: E402
+
+_NB_SPLIT = f"""
+, sp AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY {_H}, policy_id) - 1 < ceil(0.3 * count(*) OVER ())
+                        THEN 'test' ELSE 'train' END AS split FROM policies),
+tr AS (SELECT * FROM sp WHERE split = 'train'),
+st AS (SELECT is_claim AS y, count(*) AS n, {', '.join(f'avg({c}) AS m_{c}, var_pop({c}) AS v_{c}' for c in NB_COLUMNS)}
+       FROM tr GROUP BY 1),
+eps AS (SELECT 1e-9 * greatest({', '.join(f'var_pop({c})' for c in NB_COLUMNS)}) AS e FROM tr),
+tot AS (SELECT sum(n) AS nt FROM st),
+jl AS (SELECT t.policy_id, s.y,
+              ln(s.n / tot.nt) {' '.join(f"- 0.5 * ln(2 * pi() * (v_{c} + e)) - (t.{c} - m_{c}) * (t.{c} - m_{c}) / (2 * (v_{c} + e))" for c in NB_COLUMNS)} AS j
+       FROM sp t, st s, eps, tot WHERE t.split = 'test'),
+jw AS (SELECT policy_id, max(j) FILTER (WHERE y = 0) AS j0, max(j) FILTER (WHERE y = 1) AS j1 FROM jl GROUP BY 1)
+"""
+oracle("gaussian_nb", _NB_SPLIT + f"SELECT policy_id, CAST(j1 > j0 AS INTEGER) AS pred, {S('1.0 / (1.0 + exp(j0 - j1))')} AS score FROM jw")
+
+_EMB = """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings)"""
+oracle("knn_join", _EMB + f"""
+, d AS (SELECT a.vec_id, b.vec_id AS nn_id, list_distance(a.v, b.v) AS dist
+        FROM e a JOIN e b ON a.vec_id <> b.vec_id)
+SELECT vec_id, CAST(rank AS INTEGER) AS rank, nn_id, {S('dist')} AS dist FROM (
+  SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, nn_id) AS rank FROM d)
+WHERE rank <= 5""", policies=False)
+_EH = hash_hex_sql("vec_id", 17)
+oracle("knn_vote", _EMB + f"""
+, sp AS (SELECT *, row_number() OVER (ORDER BY {_EH}, vec_id) - 1 < ceil(0.3 * count(*) OVER ()) AS is_test FROM e),
+d AS (SELECT q.vec_id, r.label, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_distance(q.v, r.v), r.vec_id) AS rk
+      FROM sp q JOIN sp r ON q.is_test AND NOT r.is_test),
+votes AS (SELECT vec_id, label, count(*) AS c FROM d WHERE rk <= 5 GROUP BY 1, 2)
+SELECT vec_id, label AS pred FROM (
+  SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY c DESC, label) AS o FROM votes) WHERE o = 1""",
+       policies=False)
+oracle("voting_combine", _SCORED + f"""
+, b AS (SELECT policy_id, label, score AS s0, {uniform_hash_sql('policy_id', 11)} AS s1,
+               {uniform_hash_sql('policy_id', 13)} AS s2 FROM scored)
+SELECT policy_id, label,
+       CAST((CAST(s0 >= 0.5 AS INTEGER) + CAST(s1 >= 0.5 AS INTEGER) + CAST(s2 >= 0.5 AS INTEGER)) * 2 > 3 AS INTEGER) AS hard,
+       CAST((s0 + s1 + s2) / 3 >= 0.5 AS INTEGER) AS soft, {S('(s0 + s1 + s2) / 3')} AS soft_score
+FROM b""")

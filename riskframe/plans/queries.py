@@ -342,3 +342,308 @@ def q_concat_results(spark, sf):
     return rounded(compare.concat_results(
         [EV.sweep_thresholds(s, [0.5, 0.4]), EV.binary_metrics(EV.at_threshold(s, 0.3))],
         ["sweep", "single"], "group"))
+
+
+# --- models, resampling, tuning, ensembles, streaming ------------------------------
+
+from riskframe.operators import ensemble as EN, knn as KN, models as MO, tuning as TU  # noqa: E402
+from riskframe.plans import claims as CL  # noqa: E402
+
+
+def _prepared(spark, sf):
+    return CL.prepared(spark, sf)
+
+
+def _balanced(tr):
+    return profile.with_class_weights(tr, "label", "w")
+
+
+@query("logistic")
+def q_logistic(spark, sf):
+    tr, te, _ = _prepared(spark, sf)
+    return CL.evaluate_estimator(spark, "logistic", MO.Logistic(C=1.0), tr, te)
+
+
+@query("logistic_poly")
+def q_logistic_poly(spark, sf):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import PolynomialExpansion
+    tr, te, _ = _prepared(spark, sf)
+    est = Pipeline(stages=[PolynomialExpansion(degree=2, inputCol="features", outputCol="_poly"),
+                           MO.Logistic(C=1.0, features="_poly")])
+    return CL.evaluate_estimator(spark, "logistic_poly", est, tr, te)
+
+
+@query("logistic_interactions")
+def q_logistic_interactions(spark, sf):
+    """Interaction-only degree-2 terms of the selected features + scaling + LR."""
+    tr, te, _ = _prepared(spark, sf)
+    d = len(tr.first()["features"])
+    names = [f"f{i}" for i in range(d)]
+    inter = FE.Interactions(names)
+
+    def expand(df):
+        arr = df.withColumn("_a", F.col("features"))
+        from pyspark.ml.functions import vector_to_array as v2a
+        arr = arr.withColumns({n: v2a(F.col("_a"))[i] for i, n in enumerate(names)})
+        return FE.assemble(inter.transform(arr), inter.output_columns(), "_int").select(KEY, "label", "_int")
+    a, b = expand(tr), expand(te)
+    scale = FE.StandardScale([])  # vector already standardised upstream
+    del scale
+    return CL.evaluate_estimator(spark, "logistic_interactions", MO.Logistic(C=1.0, features="_int"), a, b)
+
+
+@query("logistic_balanced")
+def q_logistic_balanced(spark, sf):
+    tr, te, _ = _prepared(spark, sf)
+    return CL.evaluate_estimator(spark, "logistic_balanced", MO.Logistic(C=1.0, weight_col="w"),
+                                 _balanced(tr), te)
+
+
+@query("decision_tree")
+def q_decision_tree(spark, sf):
+    tr, te, _ = _prepared(spark, sf)
+    return CL.evaluate_estimator(spark, "decision_tree", MO.Tree("gini", None), tr, te)
+
+
+@query("random_forest")
+def q_random_forest(spark, sf):
+    tr, te, _ = _prepared(spark, sf)
+    return CL.evaluate_estimator(spark, "random_forest",
+                                 MO.Forest(200, 5, "entropy", weight_col="w"), _balanced(tr), te)
+
+
+@query("gaussian_nb_spark")
+def q_gaussian_nb_spark(spark, sf):
+    tr, te, _ = _prepared(spark, sf)
+    return CL.evaluate_estimator(spark, "gaussian_nb_spark", MO.SparkGaussianNb(), tr, te)
+
+
+NB_COLUMNS = ["policy_tenure", "age_of_policyholder", "age_of_car", "n_lines"]
+
+
+@query("gaussian_nb")
+def q_gaussian_nb(spark, sf):
+    """Naive Bayes as DataFrame operations, on raw columns of the hash split."""
+    s = SA.train_test_split(policies(spark, sf).select(KEY, LABEL, *NB_COLUMNS), KEY, 0.3, 17)
+    train = s.where(F.col("split") == "train")
+    test = s.where(F.col("split") == "test")
+    model = MO.GaussianNb(NB_COLUMNS, LABEL).fit(train)
+    return rounded(model.transform(test).select(KEY, "pred", "score"))
+
+
+@query("svm_linear")
+def q_svm_linear(spark, sf):
+    tr, te, _ = _prepared(spark, sf)
+    return CL.evaluate_estimator(spark, "svm_linear", MO.LinearSvm(C=1.0), tr, te)
+
+
+@query("svm_poly")
+def q_svm_poly(spark, sf):
+    tr, te, _ = _prepared(spark, sf)
+    return CL.evaluate_estimator(spark, "svm_poly", MO.PolySvm(C=1.0, degree=3), tr, te)
+
+
+@query("svm_rbf")
+def q_svm_rbf(spark, sf):
+    tr, te, _ = _prepared(spark, sf)
+    return CL.evaluate_estimator(spark, "svm_rbf", MO.RbfSvm(C=1.0, gamma="scale"), tr, te)
+
+
+@query("svm_probability")
+def q_svm_probability(spark, sf):
+    tr, te, _ = _prepared(spark, sf)
+    f = CL.with_folds(tr, 3)
+    t0 = __import__("time").perf_counter()
+    model = EN.Calibrate(MO.LinearSvm(C=1.0), "sigmoid", folds=3).fit(f)
+    fit_s = __import__("time").perf_counter() - t0
+    out = model.transform(te).select(KEY, F.col("label").cast("int").alias("label"), "score", "pred")
+    return CL.metrics_row(spark, "svm_probability", out, fit_s)
+
+
+@query("calibrate_isotonic")
+def q_calibrate_isotonic(spark, sf):
+    tr, te, _ = _prepared(spark, sf)
+    f = CL.with_folds(tr, 3)
+    model = EN.Calibrate(MO.Logistic(C=1.0), "isotonic", folds=3).fit(f)
+    out = model.transform(te).select(KEY, F.col("label").cast("int").alias("label"), "score", "pred")
+    return CL.metrics_row(spark, "calibrate_isotonic", out, 0.0)
+
+
+@query("mlp")
+def q_mlp(spark, sf):
+    tr, te, _ = _prepared(spark, sf)
+    d = len(tr.first()["features"])
+    return CL.evaluate_estimator(spark, "mlp", MO.Mlp(d, (64, 32), 200), tr, te)
+
+
+@query("gbt_xgb_like")
+def q_gbt_xgb(spark, sf):
+    tr, te, _ = _prepared(spark, sf)
+    ratio = profile.balance_ratio(tr, "label").first()[0]
+    w = tr.withColumn("w", F.when(F.col("label") == 1, F.lit(float(ratio))).otherwise(1.0))
+    return CL.evaluate_estimator(spark, "gbt_xgb_like", MO.Gbt(300, 5, 0.1, 0.8, 0.8, "w"), w, te)
+
+
+@query("gbt_lgbm_like")
+def q_gbt_lgbm(spark, sf):
+    tr, te, _ = _prepared(spark, sf)
+    return CL.evaluate_estimator(spark, "gbt_lgbm_like", MO.Gbt(300, 5, 0.05, 1.0, 0.8, "w"),
+                                 _balanced(tr), te)
+
+
+@query("knn_classify")
+def q_knn_classify(spark, sf):
+    tr, te, _ = _prepared(spark, sf)
+    t0 = __import__("time").perf_counter()
+    pred = KN.knn_classify(CL.as_vectors(te), CL.as_vectors(tr), 5, "uniform", "euclidean",
+                           qkey=KEY, rkey=KEY, vec="vec", label="label")
+    out = te.select(KEY, F.col("label").cast("int").alias("label")).join(pred, KEY)
+    out = out.cache()
+    out.count()
+    return CL.metrics_row(spark, "knn_classify", out, __import__("time").perf_counter() - t0)
+
+
+@query("smote")
+def q_smote(spark, sf):
+    """Class counts after oversampling the training rows to parity."""
+    p = CL.cleaned(policies(spark, sf))
+    cols = ["policy_tenure", "age_of_policyholder", "age_of_car", "n_lines", "qty"]
+    s = SA.smote(p.select(KEY, LABEL, *cols), KEY, LABEL, cols, k=5, strategy=1.0)
+    return s.groupBy(LABEL).count()
+
+
+@query("resample_in_fold")
+def q_resample_in_fold(spark, sf):
+    """Logistic regression with SMOTE applied to each training fold only."""
+    tr, te, _ = _prepared(spark, sf)
+    d = len(tr.first()["features"])
+    names = [f"f{i}" for i in range(d)]
+
+    def resample(df):
+        wide = CL.as_vectors(df).select(KEY, "label", *[F.col("vec")[i].alias(n) for i, n in enumerate(names)])
+        return FE.assemble(SA.smote(wide, KEY, "label", names, 5, 1.0), names)
+    est = SA.ResampleThenFit(resample, MO.Logistic(C=1.0))
+    return CL.evaluate_estimator(spark, "logistic_smote", est, tr, te)
+
+
+@query("grid_search")
+def q_grid_search(spark, sf):
+    """Balanced logistic regression over C x solver (solver collapses to
+    L-BFGS in Spark), 5 stratified folds, every metric per (params, fold)."""
+    tr, _, _ = _prepared(spark, sf)
+    f = _balanced(CL.with_folds(tr, 5))
+    grid = {"C": [0.1, 1, 5], "solver": ["liblinear", "saga"]}
+    results, best, _ = TU.grid_search(lambda C, solver: MO.Logistic(C=C, weight_col="w"), grid, f, KEY)
+    return results
+
+
+@query("cv_results")
+def q_cv_results(spark, sf):
+    return TU.cv_results(q_grid_search(spark, sf))
+
+
+@query("random_search")
+def q_random_search(spark, sf):
+    """RBF-SVM (random Fourier features) over log-uniform C and gamma on a 30%
+    stratified subset with 3 folds, best refitted on all training rows."""
+    tr, te, _ = _prepared(spark, sf)
+    cands = TU.random_candidates({"C": ("loguniform", 0.1, 10.0), "gamma": ("loguniform", 1e-3, 1e-1)},
+                                 20, 17)
+    results, best, model = TU.search_subset_then_refit(
+        lambda C, gamma: MO.RbfSvm(C=C, gamma=gamma, dim=100), cands, tr, KEY, "label", 0.3, 3)
+    return results
+
+
+@query("search_subset_then_refit")
+def q_search_subset(spark, sf):
+    tr, te, _ = _prepared(spark, sf)
+    grid = {"impurity": ["gini", "entropy"], "depth": [None, 5, 10, 20], "min_split": [2, 5, 10]}
+    t0 = __import__("time").perf_counter()
+    _, best, model = TU.search_subset_then_refit(
+        lambda impurity, depth, min_split: MO.Tree(impurity, depth, min_split), grid, tr, KEY, "label",
+        0.3, 3)
+    return CL.metrics_row(spark, "tree_tuned", scored(model, te, KEY), __import__("time").perf_counter() - t0)
+
+
+@query("voting")
+def q_voting(spark, sf):
+    tr, te, _ = _prepared(spark, sf)
+    b = _balanced(tr)
+    est = EN.Voting([MO.Logistic(C=0.1, weight_col="w"), MO.LinearSvm(C=1.0, weight_col="w"),
+                     MO.Tree("entropy", 5, 2, weight_col="w")], "hard")
+    model = est.fit(b)
+    out = model.transform(te).select(KEY, F.col("label").cast("int").alias("label"), "score", "pred")
+    return CL.metrics_row(spark, "voting_hard", out, 0.0)
+
+
+@query("voting_combine")
+def q_voting_combine(spark, sf):
+    """The combination step on three deterministic base scores."""
+    from riskframe.functions.hashing import uniform_hash
+    s = scored_fixture(spark, sf).select(KEY, "label", F.col("score").alias("s0"),
+                                          uniform_hash(KEY, 11).alias("s1"),
+                                          uniform_hash(KEY, 13).alias("s2"))
+    s = s.withColumns({f"p{i}": (F.col(f"s{i}") >= 0.5).cast("int") for i in range(3)})
+    hard = EN.combine_votes(s, 3, "hard").select(KEY, "label", F.col("pred").alias("hard"))
+    soft = EN.combine_votes(s, 3, "soft").select(KEY, F.col("pred").alias("soft"),
+                                                  F.col("score").alias("soft_score"))
+    return rounded(hard.join(soft, KEY))
+
+
+@query("stacking")
+def q_stacking(spark, sf):
+    tr, te, _ = _prepared(spark, sf)
+    f = _balanced(CL.with_folds(tr, 5))
+    from pyspark.ml.classification import LogisticRegression
+    meta = LogisticRegression(featuresCol="_meta", labelCol="label", weightCol="w")
+    est = EN.Stacking([MO.Logistic(C=0.1, weight_col="w"), MO.LinearSvm(C=1.0, weight_col="w"),
+                       MO.Tree("entropy", 5, 2, weight_col="w")], meta, folds=5)
+    model = est.fit(f)
+    out = MO.scored(model, te, KEY)
+    return CL.metrics_row(spark, "stacking_logistic", out, 0.0)
+
+
+@query("knn_join")
+def q_knn_join(spark, sf):
+    e = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", F.col("embedding").alias("vec"))
+    out = KN.knn_join(e, e, 5, "euclidean", qkey="vec_id", rkey="vec_id", vec="vec", exclude_self=True)
+    return rounded(out.select("vec_id", "rank", F.col("nn").alias("nn_id"), "dist"))
+
+
+@query("knn_vote")
+def q_knn_vote(spark, sf):
+    """10-class vote of the 5 nearest training embeddings (hash split)."""
+    e = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", F.col("embedding").alias("vec"), "label")
+    s = SA.train_test_split(e, "vec_id", 0.3, 17)
+    test, train = s.where(F.col("split") == "test"), s.where(F.col("split") == "train")
+    out = KN.knn_classify(test, train, 5, "uniform", "euclidean", qkey="vec_id", rkey="vec_id",
+                          vec="vec", label="label")
+    return out.select("vec_id", "pred")
+
+
+@query("score_stream")
+def q_score_stream(spark, sf):
+    """Fit on the labelled table, then score the unlabelled table as a stream
+    of parquet files (written under the session's checkpoint folder)."""
+    import uuid
+    from riskframe.session import ensure_checkpoint_dir
+    from riskframe.sources.tables import labelled_unlabelled
+    from riskframe.streaming.scoring import run_to_table, score_stream
+    labelled, unlabelled = labelled_unlabelled(spark, sf)
+    train = CL.cleaned(labelled)
+    fmodel = CL.feature_stages().fit(train)
+    lr = MO.Logistic(C=1.0).fit(CL.model_frame(fmodel.transform(train)))
+    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/score_stream_{uuid.uuid4().hex}"
+    incoming = CL.cleaned(unlabelled).withColumn(LABEL, F.lit(0))
+    incoming.write.parquet(base + "/in")
+    stream = spark.readStream.schema(incoming.schema).parquet(base + "/in")
+    scored_stream = score_stream([fmodel, lr], stream).select(
+        KEY, vector_to_array_col("probability")[1].alias("score"),
+        F.col("prediction").cast("int").alias("pred"))
+    return run_to_table(scored_stream, f"scored_{uuid.uuid4().hex[:8]}", base + "/ckpt")
+
+
+def vector_to_array_col(name):
+    from pyspark.ml.functions import vector_to_array
+    return vector_to_array(F.col(name))
