@@ -171,3 +171,5 @@ def _narrow(spark, data: DataFrame, sub: dict, accuracy: int, delta: float,
             hi_i = min(grid, int(math.ceil(rel * grid + slack)))
             t["lo"], t["hi"] = row["pa"][lo_i], row["pa"][hi_i]
             t["size"] = inside * (hi_i - lo_i + 2.0) / grid + inside * 2.0 / accuracy + 2
+            if t["lo"] == t["hi"]:
+                t["size"] = 1  # one distinct value: resolving costs one row per side

@@ -134,7 +134,8 @@ def Tree(impurity: str = "gini", depth: int | None = None, min_split: int = 2,
     t = DecisionTreeClassifier(featuresCol=features, labelCol=label, impurity=impurity,
                                maxDepth=MAX_TREE_DEPTH if depth is None else depth,
                                minInstancesPerNode=max(1, math.ceil(min_split / 2)),
-                               seed=seed, maxBins=max_bins)
+                               seed=seed, maxBins=max_bins, maxMemoryInMB=1024,
+                               cacheNodeIds=True)
     return t.setWeightCol(weight_col) if weight_col else t
 
 
@@ -144,7 +145,7 @@ def Forest(n: int = 100, depth: int | None = None, impurity: str = "gini",
     f = RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=n,
                                maxDepth=MAX_TREE_DEPTH if depth is None else depth,
                                impurity=impurity, subsamplingRate=1.0, bootstrap=True,
-                               featureSubsetStrategy="sqrt", seed=seed)
+                               featureSubsetStrategy="sqrt", seed=seed, maxMemoryInMB=1024)
     return f.setWeightCol(weight_col) if weight_col else f
 
 

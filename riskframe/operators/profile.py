@@ -226,13 +226,14 @@ def kde(df: DataFrame, cols: list[str] | None = None, grid: int = 200, bins: int
 
 # The class tables below have one row per class: the unpartitioned window
 # over them moves at most #classes rows.
-_ALL = Window.partitionBy()
+def _all():
+    return Window.partitionBy()
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:
     counted = df.groupBy(label).count()
     return counted.select(label, "count",
-                          (F.col("count") / F.sum("count").over(_ALL)).alias("share"))
+                          (F.col("count") / F.sum("count").over(_all())).alias("share"))
 
 
 def balance_ratio(df: DataFrame, label: str) -> DataFrame:
@@ -245,8 +246,8 @@ def balance_ratio(df: DataFrame, label: str) -> DataFrame:
 def class_weights_balanced(df: DataFrame, label: str) -> DataFrame:
     """weight_c = n / (k * n_c) per class."""
     counted = df.groupBy(label).count()
-    return counted.select(label, (F.sum("count").over(_ALL)
-                                  / (F.count(F.lit(1)).over(_ALL) * F.col("count")))
+    return counted.select(label, (F.sum("count").over(_all())
+                                  / (F.count(F.lit(1)).over(_all()) * F.col("count")))
                           .alias("weight"))
 
 
