@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -387,9 +388,7 @@ def q_logistic_interactions(spark, sf):
         from pyspark.ml.functions import vector_to_array as v2a
         arr = arr.withColumns({n: v2a(F.col("_a"))[i] for i, n in enumerate(names)})
         return FE.assemble(inter.transform(arr), inter.output_columns(), "_int").select(KEY, "label", "_int")
-    a, b = expand(tr), expand(te)
-    scale = FE.StandardScale([])  # vector already standardised upstream
-    del scale
+    a, b = expand(tr), expand(te)  # inputs were standardised upstream
     return CL.evaluate_estimator(spark, "logistic_interactions", MO.Logistic(C=1.0, features="_int"), a, b)
 
 
@@ -454,9 +453,9 @@ def q_svm_rbf(spark, sf):
 def q_svm_probability(spark, sf):
     tr, te, _ = _prepared(spark, sf)
     f = CL.with_folds(tr, 3)
-    t0 = __import__("time").perf_counter()
+    t0 = time.perf_counter()
     model = EN.Calibrate(MO.LinearSvm(C=1.0), "sigmoid", folds=3).fit(f)
-    fit_s = __import__("time").perf_counter() - t0
+    fit_s = time.perf_counter() - t0
     out = model.transform(te).select(KEY, F.col("label").cast("int").alias("label"), "score", "pred")
     return CL.metrics_row(spark, "svm_probability", out, fit_s)
 
@@ -495,13 +494,13 @@ def q_gbt_lgbm(spark, sf):
 @query("knn_classify")
 def q_knn_classify(spark, sf):
     tr, te, _ = _prepared(spark, sf)
-    t0 = __import__("time").perf_counter()
+    t0 = time.perf_counter()
     pred = KN.knn_classify(CL.as_vectors(te), CL.as_vectors(tr), 5, "uniform", "euclidean",
                            qkey=KEY, rkey=KEY, vec="vec", label="label")
     out = te.select(KEY, F.col("label").cast("int").alias("label")).join(pred, KEY)
     out = out.cache()
     out.count()
-    return CL.metrics_row(spark, "knn_classify", out, __import__("time").perf_counter() - t0)
+    return CL.metrics_row(spark, "knn_classify", out, time.perf_counter() - t0)
 
 
 @query("smote")
@@ -559,11 +558,11 @@ def q_random_search(spark, sf):
 def q_search_subset(spark, sf):
     tr, te, _ = _prepared(spark, sf)
     grid = {"impurity": ["gini", "entropy"], "depth": [None, 5, 10, 20], "min_split": [2, 5, 10]}
-    t0 = __import__("time").perf_counter()
+    t0 = time.perf_counter()
     _, best, model = TU.search_subset_then_refit(
         lambda impurity, depth, min_split: MO.Tree(impurity, depth, min_split), grid, tr, KEY, "label",
         0.3, 3)
-    return CL.metrics_row(spark, "tree_tuned", scored(model, te, KEY), __import__("time").perf_counter() - t0)
+    return CL.metrics_row(spark, "tree_tuned", scored(model, te, KEY), time.perf_counter() - t0)
 
 
 @query("voting")
