@@ -35,6 +35,7 @@ def main():
         t0 = time.perf_counter()
         out = fn()
         times[name] = round(time.perf_counter() - t0, 4)
+        print(f"[bench] {name}: {times[name]}s", file=sys.stderr, flush=True)
         return out
 
     pol = policies(spark, sf_dir)
