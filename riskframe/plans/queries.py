@@ -562,7 +562,7 @@ def q_search_subset(spark, sf):
     _, best, model = TU.search_subset_then_refit(
         lambda impurity, depth, min_split: MO.Tree(impurity, depth, min_split), grid, tr, KEY, "label",
         0.3, 3)
-    return CL.metrics_row(spark, "tree_tuned", scored(model, te, KEY), time.perf_counter() - t0)
+    return CL.metrics_row(spark, "tree_tuned", MO.scored(model, te, KEY), time.perf_counter() - t0)
 
 
 @query("voting")
