@@ -418,3 +418,6 @@ SELECT policy_id, label,
        CAST((CAST(s0 >= 0.5 AS INTEGER) + CAST(s1 >= 0.5 AS INTEGER) + CAST(s2 >= 0.5 AS INTEGER)) * 2 > 3 AS INTEGER) AS hard,
        CAST((s0 + s1 + s2) / 3 >= 0.5 AS INTEGER) AS soft, {S('(s0 + s1 + s2) / 3')} AS soft_score
 FROM b""")
+
+oracle("select_columns", "SELECT " + cols_sql(POLICY_COLUMNS[::2]) + " FROM policies")
+ORACLES["write_results"] = ORACLES["binary_metrics"]

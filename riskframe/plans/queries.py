@@ -646,3 +646,22 @@ def q_score_stream(spark, sf):
 def vector_to_array_col(name):
     from pyspark.ml.functions import vector_to_array
     return vector_to_array(F.col(name))
+
+
+@query("select_columns")
+def q_select_columns(spark, sf):
+    """Selection by a boolean mask over the columns (every other column)."""
+    p = policies(spark, sf)
+    return rounded(frames.select_columns(p, [i % 2 == 0 for i in range(len(p.columns))]))
+
+
+@query("write_results")
+def q_write_results(spark, sf):
+    """A metrics table written as parquet under the session's checkpoint
+    folder and read back."""
+    import uuid
+    from riskframe.session import ensure_checkpoint_dir
+    from riskframe.sources.sinks import write_results
+    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/results_{uuid.uuid4().hex}"
+    write_results(rounded(EV.binary_metrics(EV.at_threshold(scored_fixture(spark, sf), 0.5))), path)
+    return spark.read.parquet(path)
