@@ -1,14 +1,17 @@
-"""Session construction and lineage cuts.
+"""Session construction, the shared scratch folder and lineage cuts.
 
-Cluster jobs inherit their configuration from the submitting environment;
-``get_session`` only fills in values that are unset, so a cluster's
-``spark.checkpoint.dir`` (a shared, reliable folder) always wins.
+Cluster jobs inherit their configuration from the submitting environment:
+``get_session`` only fills in settings that are unset, and everything that has
+to be written between two jobs goes below ``spark.checkpoint.dir``, the folder
+that driver and executors share. Only a plain ``local[...]`` session, where
+driver and executors are one process on one disk, may fall back to a temporary
+folder; on a cluster a missing setting is an error.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,40 +27,57 @@ SCALE_CONF = {
 }
 
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8,
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "riskframe") -> SparkSession:
-    builder = SparkSession.builder.appName(app)
-    if master:
-        builder = builder.master(master)
-    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.ui.enabled", "false")
-    builder = builder.config("spark.ui.showConsoleProgress", "false")
-    builder = builder.config("spark.driver.memory", "16g")
-    for k, v in SCALE_CONF.items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
-    return spark
+    """A session with the defaults above. A running session or a setting made
+    by the submitter keeps its value."""
+    active = SparkSession.getActiveSession()
+    if active is None:
+        builder = SparkSession.builder.appName(app)
+        if master:
+            builder = builder.master(master).config("spark.driver.memory", "16g")
+        if shuffle_partitions:
+            builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        builder = (builder.config("spark.ui.enabled", "false")
+                   .config("spark.ui.showConsoleProgress", "false"))
+        active = builder.getOrCreate()
+        active.sparkContext.setLogLevel("ERROR")
+    given = dict(active.sparkContext.getConf().getAll())
+    for key, value in SCALE_CONF.items():
+        if key not in given:
+            active.conf.set(key, value)
+    return active
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder, creating a local one only when
-    the session names none (tests and single-machine runs)."""
+    """The shared folder: the one in use, else the one the session names, else
+    (local sessions only) a new temporary folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        try:
-            conf_dir = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # unset
-            conf_dir = None
-    if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="riskframe-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(conf_dir)
-    return sc.getCheckpointDir() or conf_dir
+    named = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        master = sc.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all "
+                               "executors share")
+        named = tempfile.mkdtemp(prefix="riskframe-ckpt-")
+    sc.setCheckpointDir(named)
+    return sc.getCheckpointDir() or named
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path for one intermediate table in the shared folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back: the
+    lineage ends there, and a lost executor costs no recomputation."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
