@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import packing, token_counts, token_files
+from riskframe.llm import near_dedup, packing, token_counts, token_files
 from riskframe.llm.common import table
 from riskframe.session import shared_path
 
@@ -42,3 +42,8 @@ def op2_pack_documents(spark, sf_dir):
 def op4_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"),
                                      public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op5_near_duplicates(spark, sf_dir):
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
