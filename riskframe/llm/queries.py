@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import near_dedup, packing, token_counts, token_files
+from riskframe.llm import langid, near_dedup, packing, pii, token_counts, token_files
 from riskframe.llm.common import table
 from riskframe.session import shared_path
 
@@ -47,3 +47,14 @@ def op4_token_counts(spark, sf_dir):
 @query
 def op5_near_duplicates(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return langid.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op6_personal_data(spark, sf_dir):
+    return pii.find(table(spark, sf_dir, "documents"))
