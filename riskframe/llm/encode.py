@@ -1,8 +1,7 @@
 """Whole-text encoding with a ``tokenizers`` file, remembering the ids of words.
 
 A text is cut where the tokenizer's own pre-tokenisation always cuts: before
-each run of white space, and between a letter and a full stop or comma that ends
-a word. Each such piece goes through the tokenizers library once per worker;
+each run of white space, and between a letter and a sign. Each such piece goes through the tokenizers library once per worker;
 its ids are remembered as bytes, and a text's ids are the joined bytes. The
 result is the same as encoding the whole text (tests compare the two)."""
 
@@ -11,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 
 import numpy as np
 
@@ -21,14 +21,16 @@ _LETTERS = "".join(c for c in map(chr, range(0x41, 0x250))
                    if c.isalpha() and len(c.lower()) == 1 and c.lower().isalpha())
 
 
+# white space and signs: after letters, all of them start a new pre-token
+_STOP = WHITE + r"!-/:-@\[-`{-~"
+
+
 def _kept_white() -> re.Pattern:
-    w = WHITE
-    return re.compile(rf"[{w}]*[{_LETTERS}]+(?=[{w}.,]|\Z)|[{w}]*[.,]+(?=[{w}]|\Z)|[{w}]*[^{w}]+|[{w}]+")
+    return re.compile(rf"[{WHITE}]*[{_LETTERS}]+(?=[{_STOP}]|\Z)|[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 
 
 def _dropped_white() -> re.Pattern:
-    w = WHITE
-    return re.compile(rf"[{_LETTERS}]+(?=[{w}.,]|\Z)|[.,]+(?=[{w}]|\Z)|[^{w}]+")
+    return re.compile(rf"[{_LETTERS}]+(?=[{_STOP}]|\Z)|[^{WHITE}]+")
 
 
 class Encoder:
@@ -42,6 +44,7 @@ class Encoder:
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.pattern = self._cuts(json.loads(tokenizer_json))
+        self.lowers = bool(self.pattern) and self.pattern.pattern == _dropped_white().pattern
         self.cache = WordCache(self._encode)
 
     @staticmethod
@@ -62,18 +65,40 @@ class Encoder:
         return None
 
     def _encode(self, words: list[str]) -> list[bytes]:
-        out = []
+        if self.lowers:
+            # plain lower-case words are left alone by the steps before the merges
+            merge, kind = self.tokenizer.model.tokenize, self.dtype.char
+            plain = {w: array(kind, [t.id for t in merge(w)]).tobytes()
+                     for w in words if w.isascii() and w.islower() and w.isalpha()}
+            other = [w for w in words if w not in plain]
+            plain.update(zip(other, self._through(other)))
+            return [plain[w] for w in words]
+        return self._through(words)
+
+    def _through(self, words: list[str]) -> list[bytes]:
+        out, kind = [], self.dtype.char
         for i in range(0, len(words), 20_000):
             found = self.tokenizer.encode_batch(words[i:i + 20_000], add_special_tokens=False)
-            out += [np.array(e.ids, self.dtype).tobytes() for e in found]
+            out += [array(kind, e.ids).tobytes() for e in found]
         return out
 
     def ids(self, text: str) -> bytes:
         if self.pattern is None:
             return self._encode([text])[0]
+        if self.lowers and "<|" not in text and _latin(text):
+            text = text.lower()  # as the tokenizer does; fewer different words
         return b"".join(b"".join(self.cache.values(part)) for part in pieces(self.pattern, text))
 
 
+def _latin(text: str) -> bool:
+    """Whether lower case and composition work letter by letter."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 _ENCODERS: dict[int, Encoder] = {}
 
 
