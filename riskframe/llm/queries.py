@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import decontaminate, langid, near_dedup, packing, pii, token_counts, token_files
+from riskframe.llm import decontaminate, html_extract, langid, near_dedup, packing, pii, token_counts, token_files
 from riskframe.llm.common import table
 from riskframe.session import shared_path
 
@@ -63,3 +63,8 @@ def op6_personal_data(spark, sf_dir):
 @query
 def op3_benchmark_leaks(spark, sf_dir):
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op10_main_text(spark, sf_dir):
+    return html_extract.extract(table(spark, sf_dir, "pages"))
