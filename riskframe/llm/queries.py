@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import decontaminate, html_extract, langid, near_dedup, packing, pii, token_counts, token_files
+from riskframe.llm import (decontaminate, html_extract, langid, lm_score, near_dedup, packing, pii,
+                           token_counts, token_files, topk)
 from riskframe.llm.common import table
 from riskframe.session import shared_path
 
@@ -68,3 +69,13 @@ def op3_benchmark_leaks(spark, sf_dir):
 @query
 def op10_main_text(spark, sf_dir):
     return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op8_exact_top_k(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op9_lm_scores(spark, sf_dir):
+    return lm_score.score(table(spark, sf_dir, "documents"))
