@@ -17,7 +17,8 @@ Sequences are runs of at most ``RUN`` words, so long texts cost no more per word
 every word of a text counts. Null texts and texts without letters are ``und``
 with score 0; with no labelled row at all, every text is. Ties go to the language
 first in alphabetical order. A null id is not held out and not learned from. Rows
-are kept as they are, repeated ones too; other columns take no part.
+are kept as they are, repeated ones too; other columns take no part, and
+``accepted`` hands them through.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import SLAB_CHARS, WordCache, bounded_batches, mix
@@ -182,13 +183,8 @@ def training_rows(docs: DataFrame, per_language: int = TRAIN_DOCS, key: str = "d
     return [(r["lang"], r["text"]) for r in chosen.select("lang", "text").collect()]
 
 
-def identify(docs: DataFrame, model: LanguageModel | None = None, key: str = "doc_id",
-             text: str = "text", lang: str = "lang") -> DataFrame:
-    """All columns of ``docs`` with ``held_out``, ``lang_pred`` and ``score``
-    (columns of these names are replaced)."""
-    spark = docs.sparkSession
-    if model is None:
-        model = fit(training_rows(docs, key=key, text=text, lang=lang))
+def language(spark, model: LanguageModel, text: Column) -> Column:
+    """The struct (lang_pred, score) of a text column."""
     shared = spark.sparkContext.broadcast(model)
     bounded_batches(spark)
 
@@ -197,8 +193,25 @@ def identify(docs: DataFrame, model: LanguageModel | None = None, key: str = "do
         pred, score = shared.value.predict(texts.tolist())
         return pd.DataFrame({"lang_pred": pred, "score": score})
 
+    return predict(text.cast("string"))
+
+
+def identify(docs: DataFrame, model: LanguageModel | None = None, key: str = "doc_id",
+             text: str = "text", lang: str = "lang") -> DataFrame:
+    """``(doc_id, held_out, lang_pred, score)`` of every row."""
+    if model is None:
+        model = fit(training_rows(docs, key=key, text=text, lang=lang))
     held = F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1, F.lit(False))
-    found = predict(F.col(text).cast("string"))
-    kept = [c for c in docs.columns if c not in ("held_out", "lang_pred", "score")]
-    return (docs.select(*kept, held.alias("held_out"), found.alias("_found"))
-            .select(*kept, "held_out", "_found.lang_pred", "_found.score"))
+    return (docs.select(F.col(key).alias("doc_id"), held.alias("held_out"),
+                        language(docs.sparkSession, model, F.col(text)).alias("found"))
+            .select("doc_id", "held_out", "found.lang_pred", "found.score"))
+
+
+def accepted(docs: DataFrame, least: float = 0.5, key: str = "doc_id", text: str = "text",
+             lang: str = "lang") -> DataFrame:
+    """The rows, with all their columns, whose text has a language: not ``und``,
+    and a score of at least ``least``."""
+    model = fit(training_rows(docs, key=key, text=text, lang=lang))
+    found = "__language"
+    return (docs.withColumn(found, language(docs.sparkSession, model, F.col(text)))
+            .where((F.col(f"{found}.lang_pred") != "und") & (F.col(f"{found}.score") >= least)).drop(found))

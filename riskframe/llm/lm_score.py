@@ -47,13 +47,14 @@ class Model:
     """The vocabulary by hash, word counts by number (rank, the last is the
     unknown word) and, once known, the counts of hot pairs."""
 
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray, total: int):
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray, total: int, hot: int):
         order = np.argsort(hashes)
         self.hashes, self.number = hashes[order], order
         # the unknown word is hot, too: number 0; words follow by rank
         self.counts = np.concatenate(([max(1, total - counts.sum())], counts)).astype(np.float64)
         self.total = float(max(1, total))
-        self.hot = np.zeros((HOT, HOT), np.int64)
+        self.size = hot
+        self.hot = np.zeros((hot, hot), np.int64)
 
     def numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         h, text = word_hashes(texts)
@@ -98,27 +99,30 @@ def word_counts(source: DataFrame) -> DataFrame:
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
-def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def score(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: int = VOCABULARY,
+          hot_words: int = HOT) -> DataFrame:
+    if not 0 < hot_words <= vocabulary + 1 <= 1 << 16:
+        raise ValueError("word numbers take 16 bits, and the hot words are among them")
     spark = docs.sparkSession
     bounded_batches(spark)
     source = texts_of(docs, key, text)
     counts = word_counts(source).cache()
     total = counts.agg(F.sum("n")).first()[0] or 0
-    common = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
+    common = counts.orderBy(F.desc("n"), "word").limit(vocabulary).collect()
     counts.unpersist()
     model = Model(np.array([r["word"] for r in common], np.int64),
-                  np.array([r["n"] for r in common], np.int64), total)
+                  np.array([r["n"] for r in common], np.int64), total, hot_words)
     first = spark.sparkContext.broadcast(model)
 
     def hot_pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n = np.zeros((2, HOT * HOT), np.int64)
+        size = first.value.size
+        n = np.zeros(size * size, np.int64)
         for f in frames:
             _, v, w, times, _, _ = first.value.pairs(f["text"].tolist())
-            hot = (v < HOT) & (w < HOT)
-            at = v[hot] * HOT + w[hot]
-            n[0] += np.bincount(at, times[hot], HOT * HOT).astype(np.int64)
-        found = np.flatnonzero(n[0])
-        yield pd.DataFrame({"pair": found, "n": n[0][found]})
+            hot = (v < size) & (w < size)
+            np.add.at(n, v[hot] * size + w[hot], times[hot])
+        found = np.flatnonzero(n)
+        yield pd.DataFrame({"pair": found, "n": n[found]})
 
     for r in (source.select("text").mapInPandas(hot_pairs, "pair long, n long")
               .groupBy("pair").agg(F.sum("n").alias("n")).collect()):
@@ -132,7 +136,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         for f in frames:
             n = len(f)
             t, v, w, times, number, text = m.pairs(f["text"].tolist())
-            hot = (v < HOT) & (w < HOT)
+            hot = (v < m.size) & (w < m.size)
             t, v, w, times = t[hot], v[hot], w[hot], times[hot]
             c = m.hot[v, w]
             seen = c > times
@@ -147,7 +151,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         m = shared.value
         for f in frames:
             t, v, w, times, _, _ = m.pairs(f["text"].tolist())
-            cold = (v >= HOT) | (w >= HOT)
+            cold = (v >= m.size) | (w >= m.size)
             yield pd.DataFrame({"pair": (v[cold] << 16) | w[cold], "row": f["row"].to_numpy()[t[cold]],
                                 "n": times[cold]})
 

@@ -288,3 +288,14 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, words: int = 5, ban
     return (rooted.join(least, "root", "left")
             .select("doc_id", F.when(F.col("root").isNull(), F.col("doc_id"))
                     .otherwise(F.col("class_id")).alias("class_id")))
+
+
+def one_of_each(docs: DataFrame, text: str = "text", **options) -> DataFrame:
+    """``docs`` with all columns and one row of each near-duplicate class: the
+    first by position in the table. Rows are numbered once and written, so their
+    numbers do not change if a part is computed again."""
+    number = "__row"
+    rows = written(docs.withColumn(number, F.monotonically_increasing_id()), "rows")
+    kept = (near_duplicates(rows, key=number, text=text, **options)
+            .where("doc_id = class_id").select(F.col("class_id").alias(number)))
+    return rows.join(kept, number, "left_semi").drop(number)

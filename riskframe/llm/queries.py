@@ -52,8 +52,7 @@ def op5_near_duplicates(spark, sf_dir):
 
 @query
 def op7_language_id(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return langid.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+    return langid.identify(table(spark, sf_dir, "documents"))
 
 
 @query
