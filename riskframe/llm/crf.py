@@ -3,8 +3,8 @@
 Sequences are laid end to end: ``scores`` holds one row of label scores per
 token, ``starts`` and ``lengths`` give the sequences. All passes walk the time
 steps once and treat all sequences that are long enough at each step together.
-Token types stand for tokens: a type has a row of feature numbers (padded with
-0, whose weight stays 0), and tokens refer to types."""
+Token types stand for tokens: a type has one or more feature numbers (they lie end
+to end, with the place where each type's begin), and tokens refer to types."""
 
 from __future__ import annotations
 
@@ -91,36 +91,33 @@ class Crf:
         self.weights = np.zeros((features, labels))
         self.begin, self.move = np.zeros(labels), np.zeros((labels, labels))
 
-    def scores(self, rows: np.ndarray) -> np.ndarray:
-        """Label scores of token types given as rows of feature numbers."""
-        return self.weights[rows].sum(axis=1)
+    def scores(self, flat: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """Label scores of token types, each with one feature number at least;
+        the weight of number 0 is 0."""
+        return np.add.reduceat(self.weights[flat], begins, axis=0) if len(begins) else self.weights[:0]
 
-    def fit(self, rows: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, labels: np.ndarray,
-            rounds: int = 60, rate: float = 0.15, ridge: float = 0.05) -> Crf:
+    def fit(self, flat: np.ndarray, begins: np.ndarray, tokens: np.ndarray, lengths: np.ndarray,
+            labels: np.ndarray, rounds: int = 60, rate: float = 0.15, ridge: float = 0.05) -> Crf:
         """Maximum conditional likelihood with an L2 penalty, by Adam steps over
-        the whole training table. ``tokens`` are type numbers; a label of -1
-        marks a token whose label is unknown and which teaches nothing."""
-        n, n_labels = len(tokens), self.weights.shape[1]
-        known = labels >= 0
+        the whole training table. ``tokens`` are type numbers."""
+        n, n_labels, n_types = len(tokens), self.weights.shape[1], len(begins)
         seq = np.repeat(np.arange(len(lengths)), lengths)
         inner = np.zeros(n, bool)
         inner[1:] = seq[1:] == seq[:-1]
         pair = np.flatnonzero(inner)
-        pair = pair[known[pair] & known[pair - 1]]
         seen_move = np.zeros_like(self.move)
         np.add.at(seen_move, (labels[pair - 1], labels[pair]), 1)
         first = np.flatnonzero(~inner)
-        flat = rows.ravel()
+        per_type = np.diff(np.append(begins, len(flat)))
         state = [(np.zeros_like(p), np.zeros_like(p)) for p in (self.weights, self.begin, self.move)]
         for step in range(1, rounds + 1):
-            p, _, moves = marginals(self.scores(rows)[tokens], lengths, self.begin, self.move)
+            p, _, moves = marginals(self.scores(flat, begins)[tokens], lengths, self.begin, self.move)
             wrong = -p
-            wrong[known, labels[known]] += 1
-            wrong[~known] = 0
-            by_type = np.stack([np.bincount(tokens, wrong[:, k], len(rows)) for k in range(n_labels)], axis=1)
-            up = np.stack([np.bincount(flat, np.repeat(by_type[:, k], rows.shape[1]), len(self.weights))
-                           for k in range(n_labels)], axis=1)
-            up[0] = 0
+            wrong[np.arange(n), labels] += 1
+            up = np.empty_like(self.weights)
+            for k in range(n_labels):
+                by_type = np.bincount(tokens, wrong[:, k], n_types)
+                up[:, k] = np.bincount(flat, np.repeat(by_type, per_type), len(up))
             grads = (up, wrong[first].sum(axis=0), seen_move - moves)
             for x, g, (m, v) in zip((self.weights, self.begin, self.move), grads, state):
                 g = (g - ridge * x) / max(1, len(lengths))

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from riskframe.llm.common import SLAB_CHARS, WordCache, bounded_batches, mix
 from riskframe.llm.crf import Crf, marginals
 
-TRAIN_DOCS, TRAIN_RUNS, RUN = 250, 6000, 64
+TRAIN_DOCS, TRAIN_RUNS, RUN = 200, 3000, 64
 LEXICON = 400
 FEATURES = 1 << 16
 WORD = re.compile(r"\b[^\W\d_]++\b")  # a run of letters that touches no digit
@@ -61,20 +61,32 @@ def words_of(text: str) -> Iterator[list[str]]:
     yield part
 
 
-def _number(name: str) -> int:
-    return 1 + zlib.crc32(name.encode("utf-8", "surrogatepass")) % (FEATURES - 1)
-
-
-def features(word: str, lexicon: dict[str, int]) -> set[int]:
-    """Feature numbers of a word (never 0). Long words are described by their
-    first and last 20 letters."""
-    found = {f"p{word[:n]}" for n in (1, 2, 3)} | {f"s{word[-n:]}" for n in (1, 2, 3)}
-    body = f"<{word}>" if len(word) <= 40 else f"<{word[:20]} {word[-20:]}>"
-    for n in (1, 2, 3):
-        found.update(body[i:i + n] for i in range(len(body) - n + 1))
-    owner = lexicon.get(word)
-    found.add("b" if owner is None else f"l{owner}")
-    return set(map(_number, found))
+def features(words: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Feature numbers (never 0) of words, end to end, and where each word's
+    begin. A word is put between < and >, so that its first and last n-grams
+    are its affixes of one and two letters; runs of four at either end are those
+    of three."""
+    sizes = np.array([len(w) for w in words], np.int64) + 2
+    code = np.frombuffer("".join([f"<{w}>" for w in words]).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    ends = np.cumsum(sizes)
+    left = np.repeat(ends, sizes) - np.arange(len(code))  # letters up to the word's end
+    padded = np.concatenate((code, np.zeros(3, np.uint64)))
+    grams, key = [], np.zeros(len(code), np.uint64)
+    for n in range(1, 5):
+        key = (key << np.uint64(21)) ^ padded[n - 1:n - 1 + len(code)] ^ (key >> np.uint64(43))
+        number = 1 + (mix(key + np.uint64(n)) % np.uint64(FEATURES - 1)).astype(np.int64)
+        number[left < n] = 0
+        grams.append(number)
+    begins = ends - sizes
+    edge = np.zeros(len(code), np.int64)
+    edge[begins] = grams[3][begins]
+    tail = np.maximum(ends - 4, begins)
+    edge[tail] = grams[3][tail]
+    # the lexicon's say stands in for the first letter of all, the mark <
+    owner = np.array([lexicon.get(w, -1) for w in words], np.int64)
+    grams[0][begins] = 1 + (mix((owner + 2).astype(np.uint64) << np.uint64(50)) % np.uint64(FEATURES - 1)).astype(np.int64)
+    flat = np.stack([*grams[:3], edge], axis=1).ravel()
+    return flat, begins * 4
 
 
 class LanguageModel:
@@ -87,37 +99,29 @@ class LanguageModel:
     def __getstate__(self):
         return {**self.__dict__, "cache": None}
 
-    def _rows(self, words: list[str]) -> np.ndarray:
-        found = [features(w, self.lexicon) for w in words]
-        out = np.zeros((len(found), max(map(len, found), default=1)), np.int64)
-        for i, x in enumerate(found):
-            out[i, :len(x)] = sorted(x)
-        return out
-
     def _compute(self, words: list[str]) -> list[bytes]:
-        words = sorted(words, key=len)  # rows of like width
-        out = {}
-        for i in range(0, len(words), 512):
-            part = words[i:i + 512]
-            scores = self.crf.scores(self._rows(part)).astype(np.float32)
-            out.update(zip(part, map(bytes, scores)))
+        out: list[bytes] = []
+        for i in range(0, len(words), 4096):
+            scores = self.crf.scores(*features(words[i:i + 4096], self.lexicon))
+            out += map(bytes, scores.astype(np.float32))
         return out
 
     def scores(self, words: list[str]) -> bytes:
         if self.cache is None:
-            def compute(new: list[str]) -> list[bytes]:
-                found = self._compute(new)
-                return [found[w] for w in new]
-            self.cache = WordCache(compute)
+            self.cache = WordCache(self._compute)
         return b"".join(self.cache.values(words))
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         n, k = len(texts), len(self.languages)
-        parts, sizes = [], np.zeros(n, np.int64)
+        parts, held, sizes = [], [], np.zeros(n, np.int64)
         for i, text in enumerate(texts):
             for words in words_of(text or ""):
-                parts.append(self.scores(words))
+                held += words
                 sizes[i] += len(words)
+                if len(held) > 200_000:
+                    parts.append(self.scores(held))
+                    held = []
+        parts.append(self.scores(held))
         if not k or not sizes.sum():
             return ["und"] * n, np.zeros(n)
         emitted = np.frombuffer(b"".join(parts), np.float32).reshape(-1, k).astype(np.float64)
@@ -166,7 +170,7 @@ def fit(rows: list[tuple[str, str]], runs: int = TRAIN_RUNS) -> LanguageModel:
         for _, label, ws in both:
             tokens += [types.setdefault(w, len(types)) for w in ws]
             gold += [label] * len(ws)
-    crf.fit(model._rows(list(types)), np.array(tokens), np.array(lengths), np.array(gold))
+    crf.fit(*features(list(types), lexicon), np.array(tokens), np.array(lengths), np.array(gold), rounds=40)
     return model
 
 

@@ -237,11 +237,10 @@ class PiiModel:
                 right = per[tokens[at + i + 1]][2 * split[tokens[at + i + 1]]:] if i + 1 < n else [edge["+"]]
                 seq.append(types.setdefault((*per[t][:split[t]], *left, *right), len(types)))
             at += n
-        table = np.zeros((len(types), max(map(len, types))), np.int64)
-        for x, i in types.items():
-            table[i, :len(x)] = x
+        begins = np.cumsum([0, *map(len, types)])[:-1]
         self.crf = Crf(len(self.numbers) + 1, len(LABELS)).fit(
-            table, np.array(seq), np.array(lengths), np.array(labels), rounds=120, rate=0.1, ridge=0.02)
+            np.array([n for x in types for n in x]), begins, np.array(seq), np.array(lengths),
+            np.array(labels), rounds=120, rate=0.1, ridge=0.02)
         self.edges = [self.crf.weights[edge[s]] for s in "-+"]
         self.known: dict[str, int] = {}
         self.tables = np.zeros((3, 0, len(LABELS)), np.float32)
