@@ -33,6 +33,17 @@ def _dropped_white() -> re.Pattern:
     return re.compile(rf"[{_LETTERS}]+(?=[{_STOP}]|\Z)|[^{WHITE}]+")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others
+    follow from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_BYTES = _byte_letters()
+
+
 class Encoder:
     """``ids(text)``: little-endian ids of ``dtype``, without added special ids."""
 
@@ -65,15 +76,20 @@ class Encoder:
         return None
 
     def _encode(self, words: list[str]) -> list[bytes]:
-        if self.lowers:
-            # plain lower-case words are left alone by the steps before the merges
-            merge, kind = self.tokenizer.model.tokenize, self.dtype.char
-            plain = {w: array(kind, [t.id for t in merge(w)]).tobytes()
-                     for w in words if w.isascii() and w.islower() and w.isalpha()}
-            other = [w for w in words if w not in plain]
-            plain.update(zip(other, self._through(other)))
-            return [plain[w] for w in words]
-        return self._through(words)
+        if self.pattern is None:
+            return self._through(words)
+        # a word of letters, after one blank if white space is kept, is one
+        # pre-token: its bytes, written as letters, go to the merges directly
+        merge, kind = self.tokenizer.model.tokenize, self.dtype.char
+        done = {}
+        for w in words:
+            core = w if self.lowers or w[0] != " " else w[1:]
+            if core.isalpha() and (core.isascii() or _latin(core)) and (not self.lowers or core.islower()):
+                raw = w.encode().decode("latin-1").translate(_BYTES)
+                done[w] = array(kind, [t.id for t in merge(raw)]).tobytes()
+        other = [w for w in words if w not in done]
+        done.update(zip(other, self._through(other)))
+        return [done[w] for w in words]
 
     def _through(self, words: list[str]) -> list[bytes]:
         out, kind = [], self.dtype.char

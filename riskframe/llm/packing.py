@@ -75,9 +75,18 @@ def choose_cuts(cuts: list[int], penalty: list[float], width: int) -> list[int]:
     ``width`` apart."""
     pos = [0, *cuts]
     best, back = [0.0] * len(pos), [0] * len(pos)
-    index = {0: 0}
-    powers = [1 << k for k in range(width.bit_length())]
-    powers = [p for p in powers if p <= width]
+    # candidates that lie a power of two before a later one
+    at = np.array(pos)
+    ends, starts = [], []
+    for k in range(width.bit_length()):
+        i = np.searchsorted(at, at - (1 << k))
+        hit = np.flatnonzero(at[i] == at - (1 << k))
+        ends.append(hit)
+        starts.append(i[hit])
+    end = np.concatenate(ends)
+    order = np.argsort(end, kind="stable")
+    exact = np.concatenate(starts)[order].tolist()
+    bound = np.searchsorted(end[order], np.arange(len(pos) + 1)).tolist()
     queue: deque[tuple[float, int]] = deque([(0.0, 0)])  # (best + P, candidate), costs ascending
     for j in range(1, len(pos)):
         p = pos[j]
@@ -85,13 +94,11 @@ def choose_cuts(cuts: list[int], penalty: list[float], width: int) -> list[int]:
             queue.popleft()
         key, i = queue[0]
         cost = key + width - p
-        for q in powers:
-            h = index.get(p - q)
-            if h is not None and best[h] < cost:
+        for h in exact[bound[j]:bound[j + 1]]:
+            if best[h] < cost:
                 cost, i = best[h], h
         cost += WINDOW + penalty[j - 1]
         best[j], back[j] = cost, i
-        index[p] = j
         key = cost + p
         while queue and queue[-1][0] >= key:
             queue.pop()
