@@ -26,11 +26,11 @@ def category_diff(a: DataFrame, b: DataFrame, cols: list[str],
                   names: tuple[str, str] = ("train", "test")) -> DataFrame:
     """Values present in only one frame, per column; null counts as a value
     (set difference treats nulls as equal)."""
-    la = to_long(a, cols, "string").distinct()
-    lb = to_long(b, cols, "string").distinct()
-    only_a = la.subtract(lb).withColumn("only_in", F.lit(names[0]))
-    only_b = lb.subtract(la).withColumn("only_in", F.lit(names[1]))
-    return only_a.unionByName(only_b)
+    both = (to_long(a, cols, "string").withColumn("_in", F.lit(1))
+            .union(to_long(b, cols, "string").withColumn("_in", F.lit(2))))
+    sides = both.groupBy("column", "value").agg(F.min("_in").alias("_low"), F.max("_in").alias("_high"))
+    return (sides.where(F.col("_low") == F.col("_high"))
+            .select("column", "value", F.when(F.col("_low") == 1, names[0]).otherwise(names[1]).alias("only_in")))
 
 
 def concat_results(dfs: list[DataFrame], tags: list[str] | None = None,
@@ -46,6 +46,6 @@ def hstack_by_key(dfs: list[DataFrame], key: str, how: str = "inner") -> DataFra
 
 
 def attach_bounds(df: DataFrame, bounds: DataFrame, on: str) -> DataFrame:
-    """Attach per-group statistics (one row per group, so the broadcast is
-    bounded by the number of groups)."""
-    return df.join(F.broadcast(bounds), on, "left")
+    """Attach per-group statistics, one row per group. Whether they are small
+    enough to broadcast is left to the optimiser, which knows their size."""
+    return df.join(bounds, on, "left")

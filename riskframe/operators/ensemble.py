@@ -39,7 +39,12 @@ class Voting:
         self.estimators, self.mode = estimators, mode
 
     def fit(self, df: DataFrame) -> "VotingModel":
-        return VotingModel([e.fit(df) for e in self.estimators], self.mode)
+        models = [e.fit(df) for e in self.estimators]
+        if self.mode == "soft":
+            out = [m.transform(df).columns for m in models]
+            if any("probability" not in c and "score" not in c for c in out):
+                raise ValueError("soft voting averages probabilities: calibrate members that give margins first")
+        return VotingModel(models, self.mode)
 
 
 class VotingModel:

@@ -23,25 +23,34 @@ from riskframe.operators.profile import FENCE_K, fences
 
 class OneHot(Estimator):
     """A 0/1 int column ``<col>_<value>`` per category seen at fit, sorted;
-    no category dropped; null or unseen -> all zeros."""
+    no category dropped; null or unseen -> all zeros. The categories become
+    columns, so they pass through the driver; ``one_hot_vector`` is the form for
+    columns with very many of them."""
 
-    def __init__(self, cols: list[str], max_categories: int = 1000, drop: bool = True):
+    def __init__(self, cols: list[str], drop: bool = True):
         super().__init__()
-        self.cols, self.max_categories, self.drop = cols, max_categories, drop
+        self.cols, self.drop = cols, drop
 
     def _fit(self, df: DataFrame) -> "OneHotModel":
         distinct = (to_long(df, self.cols, "string").where(F.col("value").isNotNull())
                     .distinct())
-        sizes = {r["column"]: r["count"] for r in distinct.groupBy("column").count().collect()}
-        wide = [c for c, n in sizes.items() if n > self.max_categories]
-        if wide:
-            raise ValueError(f"too many categories for one-hot: {wide} (cap {self.max_categories})")
         cats = {c: [] for c in self.cols}
-        for r in distinct.collect():  # bounded: <= max_categories per column
+        for r in distinct.collect():
             cats[r["column"]].append(r["value"])
         return OneHotModel({c: sorted(v) for c, v in cats.items()}, self.drop)
 
 
+def one_hot_vector(cols: list[str], suffix: str = "_vec"):
+    """The sparse form: an estimator that adds one 0/1 vector per column, a place
+    per category in order of frequency, and a last place for null or unseen."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer
+    numbers = [f"{c}_number" for c in cols]
+    return Pipeline(stages=[
+        StringIndexer(inputCols=cols, outputCols=numbers, handleInvalid="keep"),
+        OneHotEncoder(inputCols=numbers, outputCols=[c + suffix for c in cols], dropLast=False)])
+
+
 class OneHotModel(Model):
     def __init__(self, categories: dict[str, list[str]], drop: bool = True):
         super().__init__()

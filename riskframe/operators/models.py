@@ -41,7 +41,7 @@ def _weight_sum(df: DataFrame, weight_col: str | None) -> float:
 class Logistic(Estimator):
     """L2 logistic regression with sklearn's C."""
 
-    def __init__(self, C: float = 1.0, max_iter: int = 200, weight_col: str | None = None,
+    def __init__(self, C: float = 1.0, max_iter: int = 2000, weight_col: str | None = None,
                  features: str = "features", label: str = "label", tol: float = 1e-6):
         super().__init__()
         self.C, self.max_iter, self.weight_col = C, max_iter, weight_col
@@ -58,7 +58,7 @@ class Logistic(Estimator):
 
 
 class LinearSvm(Estimator):
-    def __init__(self, C: float = 1.0, max_iter: int = 100, weight_col: str | None = None,
+    def __init__(self, C: float = 1.0, max_iter: int = 2000, weight_col: str | None = None,
                  features: str = "features", label: str = "label"):
         super().__init__()
         self.C, self.max_iter, self.weight_col = C, max_iter, weight_col

@@ -41,8 +41,8 @@ def unique_counts(df: DataFrame, cols: list[str] | None = None, approx: bool = F
     if approx:
         wide = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols])
         return wide.unpivot([], cols, "column", "n_unique")
-    long = to_long(df, cols, "string").where(F.col("value").isNotNull())
-    return long.distinct().groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"))
+    # a column of nulls stays, with 0
+    return to_long(df, cols, "string").distinct().groupBy("column").agg(F.count("value").alias("n_unique"))
 
 
 def _corrected_moments(n, skew_pop, kurt_pop):

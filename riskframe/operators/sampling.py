@@ -1,103 +1,148 @@
 """Splits, folds, stratified subsets and SMOTE.
 
 Randomness is a hash of the row key and a seed, never ``rand()``, so a split
-is the same after repartitioning or recomputation. Exact sizes come from
-distributed ranks (``rank_within``): range partitioning on the hash keeps the
-work balanced even when one class holds most rows.
+is the same after repartitioning or recomputation. Exact sizes come from cuts in
+the hash order: a few aggregations over the hashes find the hash at a wanted
+rank, and every row is then placed by comparing its own hash with the cuts. Wide
+rows are neither moved nor written. Rows of one key fall on the same side.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
 from pyspark.sql import types as T
 
 from riskframe.functions.hashing import hash_hex, uniform_hash
-from riskframe.functions.prefix import rank_within
-
 
-def _ranked(df: DataFrame, key: str, seed: int, group: list[str] | None) -> DataFrame:
-    h = df.withColumn("_h", hash_hex(key, seed))
-    return rank_within(h, [F.col("_h"), F.col(key)], group, "_rank")
+_DIGITS = 4  # hex digits settled per pass: at most 16**4 groups per open cut
+_ABOVE = "g"  # over every hex string
+
+
+def hash_cuts(df: DataFrame, key: str, seed: int, group: str | None, wanted: dict) -> dict:
+    """``{(class, rank): cut}`` for ``wanted = {class: [rank, ...]}``: exactly
+    ``rank`` rows of the class have a hash under the cut (null is a class)."""
+    rows = df.select(hash_hex(key, seed).alias("h"), (F.col(group) if group else F.lit(0)).alias("c"))
+    open_ = {(c, r): ("", r) for c, ranks in wanted.items() for r in ranks}
+    cuts = {}
+    for width in range(_DIGITS, 32 + _DIGITS, _DIGITS):
+        cond = F.lit(False)
+        for c, prefix in {(c, p) for (c, _), (p, _) in open_.items()}:
+            cond = cond | (F.col("c").eqNullSafe(F.lit(c)) & F.col("h").startswith(prefix))
+        counts = rows.where(cond).groupBy("c", F.substring("h", 1, width).alias("p")).count().collect()
+        by_class: dict = {}
+        for r in sorted(counts, key=lambda r: r["p"]):
+            by_class.setdefault(r["c"], []).append((r["p"], r["count"]))
+        for target, (prefix, left) in list(open_.items()):
+            for p, n in by_class.get(target[0], []):
+                if p.startswith(prefix):
+                    if left < n:
+                        open_[target] = (p, left)
+                        break
+                    left -= n
+            else:
+                open_[target] = (_ABOVE, 0)
+            if open_[target][1] == 0 or width >= 32:
+                cuts[target] = open_.pop(target)[0]
+        if not open_:
+            break
+    return cuts
+
+
+def _sizes(df: DataFrame, label: str) -> dict:
+    """Rows per class; classes are few."""
+    return {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
+
+
+def _is_class(label: str, c) -> Column:
+    return F.col(label).eqNullSafe(F.lit(c))
 
 
 def train_test_split(df: DataFrame, key: str, test: float = 0.3, seed: int = 17,
                      split_col: str = "split") -> DataFrame:
     """Random, unstratified: the ceil(test * n) rows first in hash order are
     'test', the rest 'train'."""
-    n = df.count()
-    n_test = math.ceil(round(test * n, 9))
-    return (_ranked(df, key, seed, None)
-            .withColumn(split_col, F.when(F.col("_rank") < n_test, F.lit("test"))
-                        .otherwise(F.lit("train")))
-            .drop("_h", "_rank"))
+    n_test = math.ceil(round(test * df.count(), 9))
+    cut = hash_cuts(df, key, seed, None, {0: [n_test]})[0, n_test]
+    return df.withColumn(split_col, F.when(hash_hex(key, seed) < cut, F.lit("test")).otherwise(F.lit("train")))
 
 
 def stratified_kfold(df: DataFrame, key: str, label: str, k: int = 5, seed: int = 17,
                      fold_col: str = "fold") -> DataFrame:
-    """Within each class, rows in hash order are dealt to folds 0..k-1 in
-    turn: fold class counts differ by at most one."""
-    return (_ranked(df, key, seed, [label])
-            .withColumn(fold_col, (F.col("_rank") % k).cast("int"))
-            .drop("_h", "_rank"))
+    """Each class in hash order is cut into k folds whose sizes differ by at most
+    one. A null label is a class of its own."""
+    sizes = _sizes(df, label)
+    wanted = {c: sorted({-(-f * n // k) for f in range(1, k)}) for c, n in sizes.items()}
+    cuts = hash_cuts(df, key, seed, label, wanted)
+    h = hash_hex(key, seed)
+    fold = F.lit(0)
+    for c, n in sizes.items():
+        own = sum(((h >= cuts[c, -(-f * n // k)]).cast("int") for f in range(1, k)), F.lit(0))
+        fold = F.when(_is_class(label, c), own).otherwise(fold)
+    return df.withColumn(fold_col, fold.cast("int"))
 
 
 def stratified_sample(df: DataFrame, key: str, label: str, frac: float, seed: int = 17) -> DataFrame:
-    """Per class, the first floor(frac * n_c + 0.5) rows in hash order."""
-    sizes = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
-    keep = F.lit(None)
-    cond = None
-    for cls, n_c in sizes.items():
-        take = math.floor(round(frac * n_c, 9) + 0.5)
-        c = (F.col(label) == F.lit(cls)) & (F.col("_rank") < take)
-        cond = c if cond is None else (cond | c)
-    ranked = _ranked(df, key, seed, [label])
-    return ranked.where(cond if cond is not None else F.lit(False)).drop("_h", "_rank")
+    """Per class (null is one), the first floor(frac * n_c + 0.5) rows in hash
+    order."""
+    take = {c: math.floor(round(frac * n, 9) + 0.5) for c, n in _sizes(df, label).items()}
+    cuts = hash_cuts(df, key, seed, label, {c: [r] for c, r in take.items()})
+    keep = F.lit(False)
+    for c, r in take.items():
+        keep = keep | (_is_class(label, c) & (hash_hex(key, seed) < cuts[c, r]))
+    return df.where(keep)
 
 
 def smote(df: DataFrame, key: str, label: str, features: list[str], k: int = 5,
           strategy: float = 1.0, seed: int = 17, minority=1) -> DataFrame:
     """Synthetic minority rows until minority = strategy x majority.
 
-    Each minority row r (exact rank in hash order) makes
-    floor((r+1)s/m) - floor(rs/m) of the s synthetic rows (m minority rows),
-    so the total is exact and spread evenly; synthetic row j of row x takes
-    neighbour floor(u1 * k) of x's k nearest minority rows and the point
-    x + u2 (x_nn - x), with u1, u2 hashes of (key, j). Neighbours come from the
-    exact ``knn_join``; everything else is joins and projections."""
+    Of s synthetic rows, each of the m minority rows makes s div m, the first
+    s mod m in hash order one more. Synthetic row j of row x takes neighbour
+    floor(u1 * k) of x's k nearest minority rows and the point
+    x + u2 (x_nn - x), with u1, u2 hashes of (key, j). Neighbours come with their
+    vectors from the exact ``knn_join``; everything else is joins and projections.
+    New keys are unique and disjoint from the old: ``<key>_syn<j>`` for strings,
+    else numbers over the largest key. Raises if the minority has no k other
+    rows, or the key type has no room."""
     from riskframe.operators.knn import knn_join
-    sizes = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
+    sizes = _sizes(df, label)
     n_min = sizes.get(minority, 0)
     n_maj = max([n for c, n in sizes.items() if c != minority] or [0])
     n_syn = max(0, int(strategy * n_maj) - n_min)
-    if n_syn == 0 or n_min < 2:
+    if n_syn == 0:
         return df
-    kk = min(k, n_min - 1)
+    if n_min <= k:
+        raise ValueError(f"{n_min} rows of class {minority} have no {k} neighbours each")
     mino = df.where(F.col(label) == F.lit(minority)).select(
-        F.col(key).cast("string").alias("_id"),
+        F.col(key).alias("_key"), F.col(key).cast("string").alias("_id"),
         F.array(*[F.col(c).cast("double") for c in features]).alias("_x"))
-    nn = knn_join(mino, mino, kk, qkey="_id", rkey="_id", vec="_x", exclude_self=True, seed=seed)
-    ranked = _ranked(mino, "_id", seed, None)
-    per = F.floor((F.col("_rank") + 1) * F.lit(n_syn) / F.lit(n_min)) - F.floor(
-        F.col("_rank") * F.lit(n_syn) / F.lit(n_min))
-    base = (ranked.withColumn("_m", per.cast("int")).where(F.col("_m") > 0)
+    nn = knn_join(mino, mino, k, qkey="_id", rkey="_id", vec="_x", exclude_self=True, seed=seed,
+                  carry="_x")
+    each, rest = divmod(n_syn, n_min)
+    cut = hash_cuts(mino, "_id", seed, None, {0: [rest]})[0, rest]
+    base = (mino.withColumn("_m", F.lit(each) + (hash_hex("_id", seed) < cut).cast("int"))
+            .where(F.col("_m") > 0)
             .withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_m") - 1))))
     tag = F.concat(F.col("_id"), F.lit("#"), F.col("_j").cast("string"))
-    base = (base.withColumn("rank", (F.floor(uniform_hash(tag, seed) * kk) + 1).cast("int"))
+    base = (base.withColumn("rank", (F.floor(uniform_hash(tag, seed) * k) + 1).cast("int"))
             .withColumn("_u", uniform_hash(tag, seed + 1)))
-    partner = mino.select(F.col("_id").alias("nn"), F.col("_x").alias("_xn"))
-    syn = (base.join(nn, ["_id", "rank"]).join(partner, "nn")
+    syn = (base.join(nn.withColumnRenamed("_x", "_xn"), ["_id", "rank"])
            .withColumn("_new", F.zip_with("_x", "_xn", lambda a, b: a + F.col("_u") * (b - a))))
     key_type = df.schema[key].dataType
-    out = syn.select(
-        F.concat(F.col("_id"), F.lit("_syn"), F.col("_j").cast("string")).cast(key_type).alias(key)
-        if isinstance(key_type, T.StringType) else
-        (-(F.xxhash64(tag).cast("long"))).cast(key_type).alias(key),
-        F.lit(minority).cast(df.schema[label].dataType).alias(label),
-        *[F.col("_new")[i].alias(c) for i, c in enumerate(features)])
+    if isinstance(key_type, T.StringType):
+        new_key = F.concat(F.col("_id"), F.lit("_syn"), F.col("_j").cast("string"))
+    else:
+        low, high = df.agg(F.min(key), F.max(key)).first()
+        room = (1 << {"tinyint": 7, "smallint": 15, "int": 31}.get(key_type.simpleString(), 63)) - 1
+        if high + (high - low + 1) * (each + 1) > room:
+            raise ValueError(f"no room for new keys of type {key_type.simpleString()}: use a wider or a string key")
+        new_key = (F.lit(high + 1).cast("long")
+                   + (F.col("_key").cast("long") - F.lit(low)) * F.lit(each + 1) + F.col("_j")).cast(key_type)
+    out = syn.select(new_key.alias(key), F.lit(minority).cast(df.schema[label].dataType).alias(label),
+                     *[F.col("_new")[i].alias(c) for i, c in enumerate(features)])
     cast_df = df.select(*[F.col(c).cast("double").alias(c) if c in features else F.col(c)
                           for c in df.columns])
     return cast_df.unionByName(out, allowMissingColumns=True)

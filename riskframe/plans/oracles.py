@@ -131,7 +131,7 @@ FROM grid g LEFT JOIN cnt USING ("column", bin)
 """)
 
 
-def _kde_sql(table: str, frame: str, cols, grid: int = 50, bins: int = 128, cut: float = 3.0) -> str:
+def _kde_sql(table: str, frame: str, cols, grid: int = 50, bins: int = 512, cut: float = 3.0) -> str:
     root = repr(math.sqrt(2 * math.pi))
     return f"""
 SELECT "column", CAST(g AS INTEGER) AS g, {S('x')} AS x, {S('density')} AS density, '{frame}' AS frame
@@ -157,8 +157,8 @@ FROM (SELECT "column", g, x, sum(w * exp(-0.5 * ((x - c) / bw) * ((x - c) / bw))
       GROUP BY 1, 2, 3)"""
 
 
-oracle("kde", _kde_sql("train_t", "train", ["policy_tenure", "qty"]) + " UNION ALL "
-       + _kde_sql("test_t", "test", ["policy_tenure", "qty"]))
+oracle("kde", _kde_sql("train_t", "train", NUMERIC_COLUMNS) + " UNION ALL "
+       + _kde_sql("test_t", "test", NUMERIC_COLUMNS))
 oracle("class_balance", f"""
 SELECT is_claim, count(*) AS count, {S('count(*)::DOUBLE / sum(count(*)) OVER ()')} AS share
 FROM policies GROUP BY is_claim""")
@@ -180,7 +180,7 @@ FROM ({' UNION ALL '.join(f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n
 FULL OUTER JOIN ({' UNION ALL '.join(f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n_unique FROM test_t" for c in _test_cols)}) b
 ON a."column" = b."column"
 """)
-_diff_cols = ["area_cluster", "segment", "max_torque", "is_esc"]
+_diff_cols = STRING_COLUMNS
 oracle("category_diff", f"""
 , la AS (SELECT DISTINCT * FROM ({long_sql(_diff_cols, 'train_t', 'VARCHAR')})),
 lb AS (SELECT DISTINCT * FROM ({long_sql(_diff_cols, 'test_t', 'VARCHAR')}))
@@ -196,7 +196,7 @@ from riskframe.functions.hashing import hash_hex_sql, uniform_hash_sql  # noqa:
 from riskframe.functions.numeric import abs_round_sql as AR  # noqa: E402
 from riskframe.operators.features import _term_name, poly_names  # noqa: E402
 from riskframe.plans.queries import (ANOVA_COLUMNS, INTERACTION_COLUMNS, ONE_HOT_COLUMNS,  # noqa: E402
-                                     OUTLIER_COLUMNS, POLY_COLUMNS, SCALE_COLUMNS, SWEEP)
+                                     OUTLIER_COLUMNS, POLY_COLUMNS, SCALE_COLUMNS, SMOTE_COLUMNS, SWEEP)
 
 oracle("yes_no_to_int", "SELECT policy_id, CAST(CASE WHEN is_esc = 'Yes' THEN 1 "
                         "WHEN is_esc = 'No' THEN 0 END AS INTEGER) AS is_esc FROM policies")
@@ -294,7 +294,8 @@ SELECT policy_id, is_claim,
 FROM policies""")
 oracle("stratified_kfold", f"""
 SELECT policy_id, is_claim,
-       CAST((row_number() OVER (PARTITION BY is_claim ORDER BY {_H}, policy_id) - 1) % 5 AS INTEGER) AS fold
+       CAST((row_number() OVER (PARTITION BY is_claim ORDER BY {_H}, policy_id) - 1) * 5
+            // count(*) OVER (PARTITION BY is_claim) AS INTEGER) AS fold
 FROM policies""")
 oracle("stratified_sample", f"""
 SELECT policy_id, is_claim FROM (
@@ -421,3 +422,28 @@ FROM b""")
 
 oracle("select_columns", "SELECT " + cols_sql(POLICY_COLUMNS[::2]) + " FROM policies")
 ORACLES["write_results"] = ORACLES["binary_metrics"]
+
+
+def _smote_sql(seed: int = 17, k: int = 5) -> str:
+    cols = SMOTE_COLUMNS
+    x = ", ".join(f"CAST(coalesce({c}, 0) AS DOUBLE)" if c == "qty" else f"CAST({c} AS DOUBLE)" for c in cols)
+    u = lambda s: uniform_hash_sql("tag", s)
+    points = ", ".join(f"{S(f'a[{i}] + u * (b[{i}] - a[{i}])')} AS {c}" for i, c in enumerate(cols, 1))
+    return f"""
+, n AS (SELECT count(*) FILTER (WHERE is_claim = 1) AS few,
+               count(*) FILTER (WHERE is_claim = 0) - count(*) FILTER (WHERE is_claim = 1) AS made
+        FROM policies),
+few AS (SELECT policy_id AS id, [{x}] AS v,
+               row_number() OVER (ORDER BY {hash_hex_sql('policy_id', seed)}) - 1 AS r
+        FROM policies WHERE is_claim = 1),
+near AS (SELECT * FROM (
+           SELECT p.id, q.v AS b, row_number() OVER (PARTITION BY p.id ORDER BY list_distance(p.v, q.v), q.id) AS rank
+           FROM few p JOIN few q ON p.id <> q.id) WHERE rank <= {k}),
+tags AS (SELECT id, v AS a, j, id || '#' || CAST(j AS VARCHAR) AS tag,
+                id || '_syn' || CAST(j AS VARCHAR) AS made_id
+         FROM few, n, LATERAL (SELECT unnest(range(n.made // n.few + CAST(r < n.made % n.few AS BIGINT))) AS j)),
+draws AS (SELECT *, floor({u(seed)} * {k}) + 1 AS rank, {u(seed + 1)} AS u FROM tags)
+SELECT made_id AS policy_id, 1 AS is_claim, {points} FROM draws JOIN near USING (id, rank)"""
+
+
+oracle("smote", _smote_sql())

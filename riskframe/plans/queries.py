@@ -115,9 +115,8 @@ def q_histogram(spark, sf):
 @query("kde")
 def q_kde(spark, sf):
     train, test = train_test_tables(spark, sf)
-    cols = ["policy_tenure", "qty"]
     return rounded(compare.concat_results(
-        [profile.kde(train, cols, grid=50, bins=128), profile.kde(test, cols, grid=50, bins=128)],
+        [profile.kde(train, NUMERIC_COLUMNS, grid=50), profile.kde(test, NUMERIC_COLUMNS, grid=50)],
         ["train", "test"], "frame"))
 
 
@@ -148,7 +147,7 @@ def q_compare_profiles(spark, sf):
 @query("category_diff")
 def q_category_diff(spark, sf):
     train, test = train_test_tables(spark, sf)
-    return compare.category_diff(train, test, ["area_cluster", "segment", "max_torque", "is_esc"])
+    return compare.category_diff(train, test, STRING_COLUMNS)
 
 
 # --- scalar cleaning and fitted features -------------------------------------
@@ -159,7 +158,7 @@ from riskframe.operators import features as FE, sampling as SA, evaluate as EV
 from riskframe.plans.common import scored_fixture  # noqa: E402
 
 OUTLIER_COLUMNS = ["age_of_car", "age_of_policyholder", "policy_tenure"]
-SCALE_COLUMNS = ["policy_tenure", "age_of_policyholder", "age_of_car", "n_lines"]
+SCALE_COLUMNS = NUMERIC_COLUMNS
 POLY_COLUMNS = ["policy_tenure", "age_of_car", "n_lines"]
 INTERACTION_COLUMNS = ["policy_tenure", "age_of_policyholder", "age_of_car", "n_lines"]
 ONE_HOT_COLUMNS = ["area_cluster", "segment", "is_esc"]
@@ -464,9 +463,9 @@ def q_svm_probability(spark, sf):
 def q_calibrate_isotonic(spark, sf):
     tr, te, _ = _prepared(spark, sf)
     f = CL.with_folds(tr, 3)
-    model = EN.Calibrate(MO.Logistic(C=1.0), "isotonic", folds=3).fit(f)
+    model, fit_s = EV.timed_fit(EN.Calibrate(MO.Logistic(C=1.0), "isotonic", folds=3), f)
     out = model.transform(te).select(KEY, F.col("label").cast("int").alias("label"), "score", "pred")
-    return CL.metrics_row(spark, "calibrate_isotonic", out, 0.0)
+    return CL.metrics_row(spark, "calibrate_isotonic", out, fit_s)
 
 
 @query("mlp")
@@ -503,13 +502,15 @@ def q_knn_classify(spark, sf):
     return CL.metrics_row(spark, "knn_classify", out, time.perf_counter() - t0)
 
 
+SMOTE_COLUMNS = ["policy_tenure", "age_of_policyholder", "age_of_car", "n_lines", "qty"]
+
+
 @query("smote")
 def q_smote(spark, sf):
-    """Class counts after oversampling the training rows to parity."""
-    p = CL.cleaned(policies(spark, sf))
-    cols = ["policy_tenure", "age_of_policyholder", "age_of_car", "n_lines", "qty"]
-    s = SA.smote(p.select(KEY, LABEL, *cols), KEY, LABEL, cols, k=5, strategy=1.0)
-    return s.groupBy(LABEL).count()
+    """The synthetic rows that bring the rare class to parity."""
+    p = CL.cleaned(policies(spark, sf)).select(KEY, LABEL, *SMOTE_COLUMNS)
+    s = SA.smote(p, KEY, LABEL, SMOTE_COLUMNS, k=5, strategy=1.0)
+    return rounded(s.join(p.select(KEY), KEY, "left_anti"))
 
 
 @query("resample_in_fold")
@@ -550,7 +551,7 @@ def q_random_search(spark, sf):
     cands = TU.random_candidates({"C": ("loguniform", 0.1, 10.0), "gamma": ("loguniform", 1e-3, 1e-1)},
                                  20, 17)
     results, best, model = TU.search_subset_then_refit(
-        lambda C, gamma: MO.RbfSvm(C=C, gamma=gamma, dim=100), cands, tr, KEY, "label", 0.3, 3)
+        lambda C, gamma: MO.RbfSvm(C=C, gamma=gamma), cands, tr, KEY, "label", 0.3, 3)
     return results
 
 
@@ -571,9 +572,9 @@ def q_voting(spark, sf):
     b = _balanced(tr)
     est = EN.Voting([MO.Logistic(C=0.1, weight_col="w"), MO.LinearSvm(C=1.0, weight_col="w"),
                      MO.Tree("entropy", 5, 2, weight_col="w")], "hard")
-    model = est.fit(b)
+    model, fit_s = EV.timed_fit(est, b)
     out = model.transform(te).select(KEY, F.col("label").cast("int").alias("label"), "score", "pred")
-    return CL.metrics_row(spark, "voting_hard", out, 0.0)
+    return CL.metrics_row(spark, "voting_hard", out, fit_s)
 
 
 @query("voting_combine")
@@ -598,9 +599,9 @@ def q_stacking(spark, sf):
     meta = LogisticRegression(featuresCol="_meta", labelCol="label", weightCol="w")
     est = EN.Stacking([MO.Logistic(C=0.1, weight_col="w"), MO.LinearSvm(C=1.0, weight_col="w"),
                        MO.Tree("entropy", 5, 2, weight_col="w")], meta, folds=5)
-    model = est.fit(f)
+    model, fit_s = EV.timed_fit(est, f)
     out = MO.scored(model, te, KEY)
-    return CL.metrics_row(spark, "stacking_logistic", out, 0.0)
+    return CL.metrics_row(spark, "stacking_logistic", out, fit_s)
 
 
 @query("knn_join")
@@ -628,7 +629,7 @@ def q_score_stream(spark, sf):
     import uuid
     from riskframe.session import ensure_checkpoint_dir
     from riskframe.sources.tables import labelled_unlabelled
-    from riskframe.streaming.scoring import run_to_table, score_stream
+    from riskframe.streaming.scoring import run_to_files, score_stream
     labelled, unlabelled = labelled_unlabelled(spark, sf)
     train = CL.cleaned(labelled)
     fmodel = CL.feature_stages().fit(train)
@@ -640,7 +641,7 @@ def q_score_stream(spark, sf):
     scored_stream = score_stream([fmodel, lr], stream).select(
         KEY, vector_to_array_col("probability")[1].alias("score"),
         F.col("prediction").cast("int").alias("pred"))
-    return run_to_table(scored_stream, f"scored_{uuid.uuid4().hex[:8]}", base + "/ckpt")
+    return run_to_files(scored_stream, base + "/out", base + "/ckpt")
 
 
 def vector_to_array_col(name):

@@ -17,10 +17,9 @@ def score_stream(models: list, stream: DataFrame) -> DataFrame:
     return out
 
 
-def run_to_table(stream_df: DataFrame, name: str, checkpoint: str) -> DataFrame:
-    """Drain everything available into an in-memory table (tests, smoke runs)
-    and return it as a batch DataFrame."""
-    q = (stream_df.writeStream.format("memory").queryName(name).outputMode("append")
+def run_to_files(stream_df: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Score everything available into Parquet files and read them back."""
+    q = (stream_df.writeStream.format("parquet").option("path", path).outputMode("append")
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return stream_df.sparkSession.table(name)
+    return stream_df.sparkSession.read.schema(stream_df.schema).parquet(path)

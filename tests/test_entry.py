@@ -7,5 +7,3 @@ def test_entry_and_registry(spark):
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 60
-    for name in ["pipeline"]:
-        assert name not in q

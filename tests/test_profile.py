@@ -50,14 +50,14 @@ def test_category_diff_counts_null_as_value(spark):
     assert got == {("A", "train"), (None, "train"), ("C", "test")}
 
 
-@pytest.mark.parametrize("max_enumerate", [100000, 50])
-def test_exact_quantiles_match_numpy(spark, max_enumerate):
+@pytest.mark.parametrize("enumerate_rows", [100000, 50])
+def test_exact_quantiles_match_numpy(spark, enumerate_rows):
     rng = np.random.default_rng(3)
     vals = np.concatenate([rng.normal(size=3000), np.full(800, 0.25), rng.integers(0, 5, 500)])
     rows = [("g1", float(v)) for v in vals] + [("g2", float(v)) for v in vals[:7]]
     df = spark.createDataFrame(rows, "column string, value double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
-    res = exact_quantiles(df, probs, accuracy=100, max_enumerate=max_enumerate)
+    res = exact_quantiles(df, probs, accuracy=100, enumerate_rows=enumerate_rows)
     for g, v in (("g1", vals), ("g2", vals[:7])):
         for p in probs:
             assert res[g][p] == pytest.approx(float(np.quantile(v, p)), abs=1e-12)
