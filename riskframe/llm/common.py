@@ -37,7 +37,7 @@ class WordCache:
     old one, and words of the old one that are met again move back. ``compute``
     maps a list of new words to their values."""
 
-    def __init__(self, compute: Callable[[list[str]], list], limit: int = 400_000):
+    def __init__(self, compute: Callable[[list[str]], list], limit: int = 300_000):
         self.compute, self.limit = compute, limit
         self.young: dict = {}
         self.old: dict = {}
