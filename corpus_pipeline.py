@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.llm import decontaminate, langid, near_dedup, packing, pii
-from riskframe.llm.token_files import crc32
 from riskframe.session import shared_path
 
 
@@ -48,9 +47,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
-    return pieces.select("doc_id", "start", "length", crc32("ids").alias("ids_crc32"),
-                         "doc_tokens", "sequence_id", "offset")
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -41,7 +41,7 @@ SENTENCE, HARD, WINDOW = 2.0, 24.0, 8.0
 STRIDE = 64
 RUN_TOKENS = 1 << 19
 PIECES = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, "
-          "offset long, ids binary")
+          "offset long, ids_crc32 long")
 
 
 def sentence_ends(enc: Encoder) -> np.ndarray:
@@ -50,23 +50,23 @@ def sentence_ends(enc: Encoder) -> np.ndarray:
     return np.array([t.endswith((".", "!", "?", "\n")) for t in texts])
 
 
-def candidates(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Cut positions inside a document (counts of ids before the cut; the last
-    is the document's end) and their penalties."""
-    n = len(ids)
-    at = np.flatnonzero(ends[ids[:-1]]) + 1 if n > 1 else np.empty(0, np.int64)
-    marks = np.concatenate(([0], at, [n]))
-    gaps = np.diff(marks)
-    long = np.flatnonzero(gaps > STRIDE)
-    if len(long):
-        hard = np.concatenate([np.arange(marks[g] + STRIDE, marks[g + 1], STRIDE) for g in long])
-        cut = np.concatenate((at, hard, [n]))
-        cost = np.concatenate((np.full(len(at), SENTENCE), np.full(len(hard), HARD), [0.0]))
-        order = np.argsort(cut, kind="stable")
-        return cut[order], cost[order]
-    cost = np.full(len(at) + 1, SENTENCE)
-    cost[-1] = 0.0
-    return np.append(at, n), cost
+def candidates(flat: np.ndarray, part_ends: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cut positions in documents laid end to end (counts of ids before the cut)
+    and their penalties."""
+    mark = ends[flat]
+    mark[part_ends - 1] = True
+    at = np.flatnonzero(mark) + 1
+    cost = np.full(len(at), SENTENCE)
+    cost[np.searchsorted(at, part_ends)] = 0.0
+    before = np.concatenate(([0], at[:-1]))
+    extra = (at - before - 1) // STRIDE
+    if extra.any():
+        number = np.arange(extra.sum()) - np.repeat(np.cumsum(extra) - extra, extra) + 1
+        hard = np.repeat(before, extra) + STRIDE * number
+        cuts = np.concatenate((at, hard))
+        order = np.argsort(cuts, kind="stable")
+        return cuts[order], np.concatenate((cost, np.full(len(hard), HARD)))[order]
+    return at, cost
 
 
 def choose_cuts(cuts: list[int], penalty: list[float], width: int) -> list[int]:
@@ -116,17 +116,17 @@ class Packer:
 
     def __init__(self, ends: np.ndarray, width: int, first_sequence: int):
         self.ends, self.width, self.sequence = ends, width, first_sequence
-        self.parts: list[tuple] = []  # (doc_id, start, ids, cuts, penalties, doc_tokens)
+        self.parts: list[tuple] = []  # (doc_id, start, ids, doc_tokens)
         self.held = 0
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> list[tuple]:
-        cut, cost = candidates(ids, self.ends)
-        rows, start = [], 0
-        while start < len(ids):
-            # a very long document is taken in parts that end at a candidate
-            k = len(cut) if len(ids) - start <= RUN_TOKENS else int(np.searchsorted(cut, start + RUN_TOKENS, "right"))
-            stop, begin = int(cut[k - 1]), int(np.searchsorted(cut, start, "right"))
-            self.parts.append((doc_id, start, ids[start:stop], cut[begin:k] - start, cost[begin:k], len(ids)))
+        rows, start, total = [], 0, len(ids)
+        while start < total:
+            stop = min(total, start + RUN_TOKENS)
+            if stop < total:  # a very long document is taken in parts
+                at = np.flatnonzero(self.ends[ids[start:stop]])
+                stop = start + int(at[-1]) + 1 if len(at) else stop
+            self.parts.append((doc_id, start, ids[start:stop], total))
             self.held += stop - start
             start = stop
             if self.held >= RUN_TOKENS:
@@ -136,27 +136,28 @@ class Packer:
     def close(self) -> list[tuple]:
         if not self.parts:
             return []
-        sizes = np.array([len(p[2]) for p in self.parts])
-        begins = np.cumsum(sizes) - sizes
-        cuts = np.concatenate([p[3] + b for p, b in zip(self.parts, begins)]).tolist()
-        windows = choose_cuts(cuts, np.concatenate([p[4] for p in self.parts]).tolist(), self.width)
-        rows, k, opened = [], 0, 0
-        for (doc_id, start, ids, _, _, total), b in zip(self.parts, begins.tolist()):
-            done = 0
-            while done < len(ids):
-                n = min(len(ids) - done, windows[k] - b - done)
+        part_ends = np.cumsum([len(p[2]) for p in self.parts])
+        cuts, penalty = candidates(np.concatenate([p[2] for p in self.parts]), part_ends, self.ends)
+        windows = choose_cuts(cuts.tolist(), penalty.tolist(), self.width)
+        rows, k, opened, b = [], 0, 0, 0
+        for doc_id, start, ids, total in self.parts:
+            done, size = 0, len(ids)
+            while done < size:
+                n = min(size - done, windows[k] - b - done)
                 rows.append((doc_id, start + done, n, total, self.sequence, b + done - opened, ids[done:done + n]))
                 done += n
                 if b + done == windows[k]:
                     opened, k, self.sequence = windows[k], k + 1, self.sequence + 1
+            b += size
         self.parts, self.held = [], 0
         return rows
 
 
 def pack(docs: DataFrame, tokenizer_path: str, width: int = 1024, end_id: int = 0,
-         key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per piece (``PIECES``); ``ids`` are little-endian unsigned 32-bit.
-    Texts are range-partitioned by document id; that is the only shuffle."""
+         key: str = "doc_id", text: str = "text", with_ids: bool = True) -> DataFrame:
+    """One row per piece: the columns of ``PIECES`` and, ``with_ids``, ``ids`` as
+    little-endian unsigned 32-bit integers, which the checksum is of. Texts are
+    range-partitioned by document id; that is the only shuffle."""
     if width < STRIDE or width & (width - 1):
         raise ValueError(f"width must be a power of two, at least {STRIDE}")
     spark = docs.sparkSession
@@ -166,12 +167,15 @@ def pack(docs: DataFrame, tokenizer_path: str, width: int = 1024, end_id: int =
     bounded_batches(spark)
     ordered = (texts_of(docs, key, text).repartitionByRange("doc_id")
                .sortWithinPartitions("doc_id", "text").withColumn("shard", F.spark_partition_id()))
+    schema = PIECES + ", ids binary" * with_ids
     names = [x.split()[0] for x in PIECES.split(", ")]
 
     def frame(rows: list[tuple]) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=names)
+        wide = [r[6].astype("<u4") for r in rows]
+        out = pd.DataFrame([(*r[:6], zlib.crc32(w)) for r, w in zip(rows, wide)], columns=names)
         out["doc_id"] = out["doc_id"].astype("Int64")
-        out["ids"] = out["ids"].map(lambda x: x.astype("<u4").tobytes())
+        if with_ids:
+            out["ids"] = [w.tobytes() for w in wide]
         return out
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -192,4 +196,4 @@ def pack(docs: DataFrame, tokenizer_path: str, width: int = 1024, end_id: int =
             if rows:
                 yield frame(rows)
 
-    return ordered.mapInPandas(run, PIECES)
+    return ordered.mapInPandas(run, schema)

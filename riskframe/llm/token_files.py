@@ -29,7 +29,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riskframe.llm.common import bounded_batches, texts_of
 from riskframe.llm.encode import encoder
@@ -157,10 +156,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
 
 # ---- reading ----------------------------------------------------------------
 
-def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """``(doc_id, start, n_tokens, ids)`` of every document; ``ids`` are
-    little-endian unsigned 32-bit, ``start`` counts the ids of all documents
-    before it."""
+def read_token_files(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
+    """``(doc_id, start, n_tokens, ids_crc32)`` of every document and, ``with_ids``,
+    its ``ids`` as little-endian unsigned 32-bit integers, which the checksum is
+    of. ``start`` counts the ids of all documents before it."""
     blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
     vocabulary = spark.read.parquet(f"{path}/vocabulary").orderBy("rank").collect()
     ids = spark.sparkContext.broadcast(np.array([r["id"] for r in vocabulary], "<u4"))
@@ -179,15 +178,14 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 n = np.asarray(b.n_tokens, np.int64)
                 values = table[unpack(b.control, b.data, int(n.sum()))]
                 ends = np.cumsum(n)
-                yield pd.DataFrame({
+                parts = [values[e - k:e] for e, k in zip(ends, n)]
+                out = pd.DataFrame({
                     "doc_id": pd.array([None if pd.isna(d) else int(d) for d in b.doc_ids], "Int64"),
                     "start": starts[b.shard] + b.first + ends - n, "n_tokens": n,
-                    "ids": [values[e - k:e].tobytes() for e, k in zip(ends, n)]})
+                    "ids_crc32": [zlib.crc32(x) for x in parts]})
+                if with_ids:
+                    out["ids"] = [x.tobytes() for x in parts]
+                yield out
 
     bounded_batches(spark, 64)
-    return blocks.mapInPandas(decode, "doc_id long, start long, n_tokens long, ids binary")
-
-
-@F.pandas_udf(T.LongType())
-def crc32(ids: pd.Series) -> pd.Series:
-    return ids.map(zlib.crc32).astype("int64")
+    return blocks.mapInPandas(decode, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)

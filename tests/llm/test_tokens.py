@@ -68,11 +68,12 @@ def test_variable_length_code_round_trip():
 def test_token_files_round_trip(spark, docs, expected, tmp_path):
     path = str(tmp_path / "files")
     token_files.write_token_files(docs, path, WORD)
-    got = sorted(((r.start, r.n_tokens, np.frombuffer(r.ids, "<u4").tolist(), r.doc_id)
+    got = sorted(((r.start, r.n_tokens, np.frombuffer(r.ids, "<u4").tolist(), r.doc_id, r.ids_crc32)
                   for r in token_files.read_token_files(spark, path).collect()))
     at = 0
-    for (start, n, ids, doc_id), (d, want) in zip(got, expected(WORD, 1), strict=True):
+    for (start, n, ids, doc_id, crc), (d, want) in zip(got, expected(WORD, 1), strict=True):
         assert (start, n, ids, doc_id) == (at, len(want), want, d)
+        assert crc == zlib.crc32(np.array(want, "<u4"))
         at += len(want)
     vocab = spark.read.parquet(f"{path}/vocabulary").orderBy("rank").collect()
     assert [r.n for r in vocab] == sorted((r.n for r in vocab), reverse=True)
@@ -117,7 +118,7 @@ def check_pieces(rows, want, width=1024):
     found, windows = {}, {}
     for r in rows:
         ids = np.frombuffer(r.ids, "<u4").tolist()
-        assert len(ids) == r.length
+        assert len(ids) == r.length and zlib.crc32(r.ids) == r.ids_crc32
         found.setdefault((r.doc_id, r.doc_tokens), []).append((r.start, ids))
         windows.setdefault(r.sequence_id, []).append((r.offset, r.length))
     total = {}
@@ -158,8 +159,8 @@ def test_packing_in_short_runs(monkeypatch):
         rows += packer.add(d, ids)
     rows += packer.close()
     from collections import namedtuple
-    P = namedtuple("P", "doc_id start length doc_tokens sequence_id offset ids")
-    check_pieces([P(*r[:6], r[6].astype("<u4").tobytes()) for r in rows], want)
+    P = namedtuple("P", "doc_id start length doc_tokens sequence_id offset ids ids_crc32")
+    check_pieces([P(*r[:6], w, zlib.crc32(w)) for r in rows for w in [r[6].astype("<u4").tobytes()]], want)
 
 
 def test_token_counts_equal_the_library(docs):
@@ -191,9 +192,3 @@ def _models():
 
 
 COUNTER, SP = _models()
-
-
-def test_crc32_of_ids(spark):
-    raw = np.array([1, 70000], "<u4").tobytes()
-    row = spark.createDataFrame([(raw,)], "ids binary").select(token_files.crc32("ids").alias("c")).first()
-    assert row.c == zlib.crc32(raw)
