@@ -40,9 +40,10 @@ def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    masked = pii.mask(docs)
+    masked = pii.mask(docs.withColumn("__length", F.length("text")))
     if "n_chars" in docs.columns:
-        masked = masked.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
+        changed = F.length("text") != F.col("__length")
+        masked = masked.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return masked.select(docs.columns)
 
 
