@@ -58,16 +58,18 @@ class Logistic(Estimator):
 
 
 class LinearSvm(Estimator):
+    """Linear SVM with sklearn's C; stops by ``tol``, not by the iteration limit."""
+
     def __init__(self, C: float = 1.0, max_iter: int = 2000, weight_col: str | None = None,
-                 features: str = "features", label: str = "label"):
+                 features: str = "features", label: str = "label", tol: float = 1e-4):
         super().__init__()
         self.C, self.max_iter, self.weight_col = C, max_iter, weight_col
-        self.features, self.label = features, label
+        self.features, self.label, self.tol = features, label, tol
 
     def _fit(self, df: DataFrame):
         svc = LinearSVC(featuresCol=self.features, labelCol=self.label, maxIter=self.max_iter,
                         regParam=1.0 / (self.C * _weight_sum(df, self.weight_col)),
-                        standardization=False)
+                        standardization=False, tol=self.tol)
         if self.weight_col:
             svc.setWeightCol(self.weight_col)
         return svc.fit(df)

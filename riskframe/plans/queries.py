@@ -529,12 +529,13 @@ def q_resample_in_fold(spark, sf):
 
 @query("grid_search")
 def q_grid_search(spark, sf):
-    """Balanced logistic regression over C x solver (solver collapses to
-    L-BFGS in Spark), 5 stratified folds, every metric per (params, fold)."""
+    """Balanced logistic regression over C, 5 stratified folds, every metric per
+    (params, fold)."""
     tr, _, _ = _prepared(spark, sf)
     f = _balanced(CL.with_folds(tr, 5))
-    grid = {"C": [0.1, 1, 5], "solver": ["liblinear", "saga"]}
-    results, best, _ = TU.grid_search(lambda C, solver: MO.Logistic(C=C, weight_col="w"), grid, f, KEY)
+    grid = {"C": [0.1, 1, 5], "solver": ["lbfgs"]}  # Spark's optimiser stands for both solvers
+    results, _, _ = TU.grid_search(lambda C, solver: MO.Logistic(C=C, weight_col="w"), grid, f, KEY,
+                                   refit_best=False)
     return results
 
 
@@ -546,12 +547,12 @@ def q_cv_results(spark, sf):
 @query("random_search")
 def q_random_search(spark, sf):
     """RBF-SVM (random Fourier features) over log-uniform C and gamma on a 30%
-    stratified subset with 3 folds, best refitted on all training rows."""
-    tr, te, _ = _prepared(spark, sf)
-    cands = TU.random_candidates({"C": ("loguniform", 0.1, 10.0), "gamma": ("loguniform", 1e-3, 1e-1)},
-                                 20, 17)
-    results, best, model = TU.search_subset_then_refit(
-        lambda C, gamma: MO.RbfSvm(C=C, gamma=gamma), cands, tr, KEY, "label", 0.3, 3)
+    stratified subset with 3 folds."""
+    tr, _, _ = _prepared(spark, sf)
+    sub = SA.stratified_kfold(SA.stratified_sample(tr, KEY, "label", 0.3, 17), KEY, "label", 3, 17)
+    results, _, _ = TU.random_search(
+        lambda C, gamma: MO.RbfSvm(C=C, gamma=gamma), {"C": ("loguniform", 0.1, 10.0), "gamma": ("loguniform", 1e-3, 1e-1)},
+        sub, KEY, n=20, seed=17, folds=3, refit_best=False)
     return results
 
 
