@@ -56,8 +56,9 @@ OUTSIDE_WORDS = frozenset(
     "notification alert banner popup modal overlay newsletter subscribe subscription signup login comment "
     "comments disqus replies respond share sharing social related recommended widget pagination pager toolbar "
     "masthead topbar skip search copyright".split())
-#: The same, but only outside an article.
+#: The same, but only outside an article, which may have a header of its own.
 OUTER_WORDS = frozenset(["header", "head", "top"])
+ARTICLE_WORDS = frozenset(["article", "content", "entry", "post", "story"])
 GOOD_WORDS = frozenset("article content entry main post story text body".split())
 #: An open tag of the key is closed by these start tags.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -194,7 +195,7 @@ class Page:
                 above = f"{self.containers[container][1]}/" if container >= 0 else ""
                 self.containers.append((container, above + step, tag, words))
                 container = len(self.containers) - 1
-                article = article or tag in ("article", "main")
+                article = article or tag in ("article", "main") or bool(words & ARTICLE_WORDS)
         self._stack.append((tag, container, outside, article))
 
     def _end(self, tag: str):
