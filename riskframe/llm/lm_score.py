@@ -1,8 +1,9 @@
 """Stupid-backoff scores of documents under a bigram model of the whole corpus.
 
-The model has a closed vocabulary: the ``VOCABULARY`` most frequent words (lower
-case, split at white space; ties by hash), every other word is one unknown word.
-Counts are over all documents. For a pair of neighbours (v, w) in a document::
+The model has a closed vocabulary: the most frequent words (lower case, split at
+white space), at most ``VOCABULARY``; words fall into classes of like frequency
+(``STEPS`` to a doubling) and the classes from the top are taken that fit whole.
+Every other word is one unknown word. Counts are over all documents. For a pair of neighbours (v, w) in a document::
 
     S(w | v) = c(v w) / c(v)        if another document has the pair too
                ALPHA * c(w) / N     else
@@ -41,6 +42,7 @@ from riskframe.llm.shingles import word_hashes
 VOCABULARY = 65_535
 HOT = 1024
 ALPHA = 0.4
+STEPS = 64
 
 
 class Model:
@@ -108,7 +110,16 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary:
     source = texts_of(docs, key, text)
     counts = word_counts(source).cache()
     total = counts.agg(F.sum("n")).first()[0] or 0
-    common = counts.orderBy(F.desc("n"), "word").limit(vocabulary).collect()
+    level = F.floor(F.log2("n") * STEPS).cast("int")
+    # at most 64 x STEPS rows, then at most ``vocabulary``
+    sizes = counts.groupBy(level.alias("level")).agg(F.count("*").alias("words")).orderBy(F.desc("level")).collect()
+    taken, least = 0, 64 * STEPS
+    for r in sizes:
+        taken += r["words"]
+        if taken > vocabulary:
+            break
+        least = r["level"]
+    common = sorted(counts.where(level >= least).collect(), key=lambda r: (-r["n"], r["word"]))
     counts.unpersist()
     model = Model(np.array([r["word"] for r in common], np.int64),
                   np.array([r["n"] for r in common], np.int64), total, hot_words)

@@ -397,8 +397,9 @@ def test_reading_stops_early_and_stays_exact():
 def brute_lm(rows, vocabulary, hot):
     words = [(t or "").lower().split() for _, t in rows]
     uni = Counter(w for ws in words for w in ws)
-    hashes = {w: int(shingles.word_hashes([w])[0].view(np.int64)[0]) for w in uni}
-    kept = set(sorted(uni, key=lambda w: (-uni[w], hashes[w]))[:vocabulary])
+    level = {w: math.floor(math.log2(n) * lm_score.STEPS) for w, n in uni.items()}
+    least = min((v for v in level.values() if sum(x >= v for x in level.values()) <= vocabulary), default=10**9)
+    kept = {w for w in uni if level[w] >= least}
     words = [[w if w in kept else None for w in ws] for ws in words]
     uni = Counter(w for ws in words for w in ws)
     total = max(1, sum(uni.values()))
@@ -485,8 +486,7 @@ def test_host_vote_decides_for_a_poor_page(spark, monkeypatch):
 def test_pipeline_on_a_small_corpus(spark, tmp_path, languages):
     import corpus_pipeline
 
-    rng = random.Random(4)
-    rows = [(d, t + " " + prose(30, rng), g) for d, t, g in languages[:80]]
+    rows = sorted(languages, key=lambda r: -len(r[1]))[:80]
     item = "the thing of the land is that it with and hand tion ed ing the of. and that is with the"
     rows += [(500, rows[0][1], "en"), (501, None, None), (502, "", "en"), (503, "123", "en"),
              (504, rows[1][1] + " " + item, "en"), (505, rows[2][1].replace(" ", "  ") + " a.b@c.org", "en"), (None, None, None)]
