@@ -211,7 +211,7 @@ def identify(docs: DataFrame, model: LanguageModel | None = None, key: str = "do
             .select("doc_id", "held_out", "found.lang_pred", "found.score"))
 
 
-def accepted(docs: DataFrame, least: float = 0.5, key: str = "doc_id", text: str = "text",
+def accepted(docs: DataFrame, least: float = 0.4, key: str = "doc_id", text: str = "text",
              lang: str = "lang") -> DataFrame:
     """The rows, with all their columns, whose text has a language: not ``und``,
     and a score of at least ``least``."""
