@@ -32,13 +32,14 @@ from __future__ import annotations
 
 import math
 import re
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import SLAB_CHARS, WordCache, bounded_batches
+from riskframe.llm.common import SLAB_CHARS, bounded_batches
 
 SHARD_ITEMS = 20_000
 BLOCK = 4
@@ -119,17 +120,9 @@ class Index:
         self.block_start = np.searchsorted(term[at], np.arange(n + 1))
         self.top = np.maximum.reduceat(self.weight, self.start[:-1]) if n else np.zeros(0)
         self.count = np.diff(self.start)
-        self.cache: WordCache | None = None
-
-    def __getstate__(self):
-        return {**self.__dict__, "cache": None}
-
     def numbers(self, words: list[str]) -> np.ndarray:
         """Term number of each word, -1 where no item has it."""
-        if self.cache is None:
-            get = self.terms.get
-            self.cache = WordCache(lambda new: [get(w, -1).to_bytes(4, "little", signed=True) for w in new])
-        return np.frombuffer(b"".join(self.cache.values(words)), "<i4")
+        return np.fromiter(map(self.terms.get, words, repeat(-1)), np.int32, len(words))
 
     def search(self, passage: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All (passage, item, score) at or over the threshold, for distinct
