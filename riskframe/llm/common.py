@@ -34,15 +34,23 @@ class WordCache:
     """Value of each word, computed once per worker while it is remembered.
 
     Two generations bound the memory: when the young one is full it becomes the
-    old one, and words of the old one that are met again move back. ``compute``
-    maps a list of new words to their values."""
+    old one, and words of the old one that are met again move back. Of all caches
+    of a worker only the one in use holds anything: a worker outlives its job, and
+    the next job has another operator. ``compute`` maps a list of new words to
+    their values."""
 
-    def __init__(self, compute: Callable[[list[str]], list], limit: int = 300_000):
+    in_use: WordCache | None = None
+
+    def __init__(self, compute: Callable[[list[str]], list], limit: int = 250_000):
         self.compute, self.limit = compute, limit
         self.young: dict = {}
         self.old: dict = {}
 
     def values(self, words: list[str]) -> Iterator:
+        if WordCache.in_use is not self:
+            if WordCache.in_use is not None:
+                WordCache.in_use.young, WordCache.in_use.old = {}, {}
+            WordCache.in_use = self
         new = set(words).difference(self.young)
         if new:
             old = self.old
