@@ -14,7 +14,7 @@ of the rest are then resolved, and a window merges the groups' best k per query.
 Components become floor(scale * x) as 64-bit integers. Vectors that are null or
 hold a null or non-finite component, and rows without an id, take no part; equal
 rows count once; shorter vectors are filled with zeros. Ties go to the smaller
-id. A query meets every row but those of its own id. Other columns take no part;
+id; scores fit 64 bits. A query meets every row but those of its own id. Other columns take no part;
 empty tables give an empty result.
 """
 
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 CANDIDATES, QUERIES = 1024, 1024
 ENOUGH = 4
-FIRST_DEPTH = 32
+FIRST_DEPTH = 256
 
 
 class Lists:
@@ -36,38 +36,45 @@ class Lists:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
-        self.rising = np.argsort(self.vectors, axis=0, kind="stable").T.copy()
-        self.sorted = np.take_along_axis(self.vectors.T, self.rising, axis=1)
+        rising = np.argsort(self.vectors, axis=0, kind="stable")
+        self.sorted = np.take_along_axis(self.vectors, rising, axis=0).T.astype(float)
+        self.rank = np.empty(rising.shape, np.int32)  # position in each component's list
+        np.put_along_axis(self.rank, rising, np.arange(len(ids), dtype=np.int32)[:, None], axis=0)
+        self.values = self.vectors.astype(float)
+        self.largest = np.abs(self.values).max(initial=0.0)
+
+    def survivors(self, allowed: np.ndarray, query: np.ndarray, k: int) -> np.ndarray:
+        """Candidates that reading the lists leaves over: all that can be among
+        the best k."""
+        n, lists = len(self.ids), np.flatnonzero(query)
+        weight = query[lists].astype(float)
+        if self.largest * np.abs(weight).sum() >= 2.0 ** 50:
+            return np.flatnonzero(allowed)  # bounds in doubles would not be exact
+        falling = weight > 0
+        every = len(lists) == len(query)
+        rank, values = (self.rank, self.values) if every else (self.rank[:, lists], self.values[:, lists])
+        ends = self.sorted if every else self.sorted[lists]
+        place = np.where(falling, n - 1, 0).astype(np.int32) + rank * np.where(falling, -1, 1).astype(np.int32)
+        least = np.where(falling, ends[:, 0], ends[:, -1]) * weight
+        depth = min(n, FIRST_DEPTH)
+        while True:
+            edge = np.where(falling, ends[:, n - depth], ends[:, depth - 1]) * weight
+            seen = (place < depth).astype(float)
+            read = (seen * values) @ weight
+            low = read + (least.sum() - seen @ least)
+            high = read + (edge.sum() - seen @ edge)
+            kth = np.partition(low[allowed], -k)[-k]
+            alive = np.flatnonzero(allowed & (high >= kth))
+            if len(alive) <= ENOUGH * k or depth == n:
+                return alive
+            depth = min(n, depth * 2)
 
     def top(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the best k but those of id ``own``."""
-        n = len(self.ids)
-        lists = np.flatnonzero(query)
         allowed = self.ids != own
         alive = np.flatnonzero(allowed)
-        if len(alive) > ENOUGH * k and len(lists):
-            weight = query[lists]
-            names, values = self.rising[lists], self.sorted[lists]
-            falling = weight > 0
-            names = np.where(falling[:, None], names[:, ::-1], names)
-            gains = np.where(falling[:, None], values[:, ::-1], values) * weight[:, None]
-            least = gains[:, -1]
-            read = np.zeros(n, np.int64)
-            unmet = np.ones((n, len(lists)), np.int64)
-            column = np.broadcast_to(np.arange(len(lists))[:, None], names.shape)
-            depth, at = 0, FIRST_DEPTH
-            while depth < n:
-                at = min(at, n)
-                new = names[:, depth:at].ravel()
-                read += np.bincount(new, gains[:, depth:at].ravel(), n).astype(np.int64)
-                unmet[new, column[:, depth:at].ravel()] = 0
-                low = read + unmet @ least
-                high = read + unmet @ gains[:, at - 1]
-                kth = np.partition(low[allowed], -k)[-k] if allowed.sum() >= k else low[allowed].min()
-                alive = np.flatnonzero(allowed & (high >= kth))
-                if len(alive) <= ENOUGH * k:
-                    break
-                depth, at = at, at * 2
+        if len(alive) > ENOUGH * k and query.any():
+            alive = self.survivors(allowed, query, k)
         scores = self.vectors[alive] @ query
         best = np.lexsort((self.ids[alive], -scores))[:k]
         return self.ids[alive][best], scores[best]
