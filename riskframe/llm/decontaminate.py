@@ -197,11 +197,14 @@ class Index:
         code = code[np.concatenate(([True], code[1:] != code[:-1]))] if len(code) else code
         passage, item, score = self.search(code // len(self.terms), code % len(self.terms))
         best: dict[tuple[int, int], tuple] = {}
+        held, words = -1, []  # the words of the text at hand; passages come in order
         for p, i, s in zip(passage.tolist(), item.tolist(), score.tolist()):
             d = int(np.searchsorted(begin, p, "right")) - 1
             at = (p - begin[d]) * half
             low, high = max(0, at - self.sizes[i]), at + self.span + self.sizes[i]
-            q, a = self._overlaps(texts[d], low, high, i)
+            if d != held:
+                held, words = d, words_of(texts[d])
+            q, a = self._overlaps(words[low:high], i)
             if q >= self.overlap and a >= self.overlap:
                 found = (self.items[i], round(s, 6), q, a)
                 if (d, i) not in best or found[1:] > best[d, i][1:]:
@@ -210,13 +213,7 @@ class Index:
             out[d].append(found)
         return out
 
-    def _overlaps(self, text: str, low: int, high: int, i: int) -> tuple[float, float]:
-        words = []
-        for k, m in enumerate(WORD.finditer(text.lower())):
-            if k >= high:
-                break
-            if k >= low:
-                words.append(m[0])
+    def _overlaps(self, words: list[str], i: int) -> tuple[float, float]:
         near = {n: set(zip(*[words[j:] for j in range(n)])) for n in range(1, NGRAM + 1)}
 
         def share(part: set[tuple]) -> float:
