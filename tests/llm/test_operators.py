@@ -435,6 +435,21 @@ def test_scores_equal_brute_force(spark, vocabulary, hot):
     assert lm_score.score(docs_frame(spark, rows).where("false")).count() == 0
 
 
+@pytest.mark.parametrize("numbered,hot", [(60, 10), (1, 1)])
+def test_scores_tell_every_word_apart(spark, numbered, hot):
+    """However few words have numbers, rare ones are counted for themselves."""
+    rng = random.Random(14)
+    rows = [(i, " ".join(rng.choice(VOCAB[:30] if rng.random() < 0.6 else VOCAB) for _ in range(rng.randint(0, 60))))
+            for i in range(80)]
+    rows += [(2**60 + 1, "rare1 rare1 rare2"), (None, "rare2 rare3 rare2 rare3"), (103, "rare2 rare3"), (103, "rare4"), (104, None)]
+    got = lm_score.score(docs_frame(spark, rows), numbered=numbered, hot_words=hot).collect()
+    key = lambda r: ((r[0] is not None, r[0] or 0), r[1:])
+    found = sorted(((r.doc_id, r.n_words, r.n_backoff, round(r.log_score, 4)) for r in got), key=key)
+    want = brute_lm(rows, 10**6, hot)
+    assert [r[:3] for r in found] == [r[:3] for r in want]
+    assert all(abs(a[3] - b[3]) < 1e-3 for a, b in zip(found, want))
+
+
 # ---- pages --------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body
