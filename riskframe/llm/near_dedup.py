@@ -290,15 +290,12 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, words: int = 5, ban
                     .otherwise(F.col("class_id")).alias("class_id")))
 
 
-def one_of_each(docs: DataFrame, text: str = "text", is_table: bool = False, **options) -> DataFrame:
+def one_of_each(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` with all columns and one row of each near-duplicate class: the
-    first by position in the table. Rows are known by their position, so they are
-    written first, unless ``docs`` is a table as read from files (``is_table``),
-    whose positions are the same whenever a part is read again."""
+    first by position in the table. Rows are numbered once and written, also those
+    of a table: how its files are packed into partitions may change from job to job."""
     number = "__row"
-    rows = docs.withColumn(number, F.monotonically_increasing_id())
-    if not is_table:
-        rows = written(rows, "rows")
+    rows = written(docs.withColumn(number, F.monotonically_increasing_id()), "rows")
     kept = (near_duplicates(rows, key=number, text=text, **options)
             .where("doc_id = class_id").select(F.col("class_id").alias(number)))
     return rows.join(kept, number, "left_semi").drop(number)

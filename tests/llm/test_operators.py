@@ -107,6 +107,29 @@ def test_one_of_each_class_stays(spark, near_rows):
     assert near_dedup.near_duplicates(frame.where("false")).count() == 0
 
 
+def test_one_of_each_when_files_are_packed_anew(spark, near_rows, tmp_path, monkeypatch):
+    """Rows keep their numbers if a later job packs the files into other partitions."""
+    import corpus_pipeline
+
+    docs_frame(spark, near_rows).repartition(6).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    setting, real = "spark.sql.files.minPartitionNum", near_dedup.near_duplicates
+
+    def then_packed_anew(*args, **options):
+        out = real(*args, **options)
+        spark.conf.set(setting, "1")
+        return out
+
+    monkeypatch.setattr(near_dedup, "near_duplicates", then_packed_anew)
+    spark.conf.set(setting, "100")
+    try:
+        kept = [r.text for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    finally:
+        spark.conf.unset(setting)
+    keyed = [(i, t) for i, (_, t) in enumerate(near_rows)]
+    assert len(kept) == len({c for _, c in brute_classes(keyed)})
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = np.random.default_rng(4)
     e = near_dedup.mix(np.arange(1, 61, dtype=np.uint64))
