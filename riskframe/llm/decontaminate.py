@@ -69,14 +69,15 @@ def grams(words: list) -> set[tuple]:
 
 
 def postings(items: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
-    """``(item_id, text, shard, terms)``; ``terms`` holds (term, weight) pairs."""
+    """``(item_id, text, len, shard, terms)``: ``len`` words, ``terms`` holds (term,
+    weight) pairs."""
     base = (items.select(F.col(key).alias("item_id"), F.col(text).alias("text"))
             .where("text is not null").dropDuplicates()
             .withColumn("words", F.expr(r"regexp_extract_all(lower(text), '[\\p{L}\\p{M}\\p{N}_]+', 0)"))
             .where("size(words) > 0"))
     n, mean = base.agg(F.count("*"), F.avg(F.size("words"))).first()
     if not n:
-        return base.select("item_id", "text", F.lit(0).alias("shard"),
+        return base.select("item_id", "text", F.size("words").alias("len"), F.lit(0).alias("shard"),
                            F.array().cast("array<struct<term:string,w:double>>").alias("terms"))
     terms = (base.select("item_id", "text", F.size("words").alias("len"), F.explode("words").alias("term"))
              .groupBy("item_id", "text", "len", "term").agg(F.count("*").alias("tf")))
@@ -86,7 +87,7 @@ def postings(items: DataFrame, key: str = "item_id", text: str = "text") -> Data
     part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / F.lit(mean)))
     shards = max(1, math.ceil(n / SHARD_ITEMS * 1.1) if n > SHARD_ITEMS else 1)
     return (terms.join(df, "term").withColumn("w", part)
-            .groupBy("item_id", "text").agg(F.collect_list(F.struct("term", "w")).alias("terms"))
+            .groupBy("item_id", "text", "len").agg(F.collect_list(F.struct("term", "w")).alias("terms"))
             .withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)).cast("int")))
 
 
@@ -271,7 +272,7 @@ def matches(docs: DataFrame, items: DataFrame, threshold: float = 0.5, overlap:
     spark = docs.sparkSession
     bounded_batches(spark)
     index = postings(items, item_key, item_text).cache()
-    longest = index.agg(F.max(F.size(F.split(F.trim("text"), r"\W+")))).first()[0] or 0
+    longest = index.agg(F.max("len")).first()[0] or 0
     span = max(64, longest + longest % 2)
     shards = sorted(r["shard"] for r in index.select("shard").distinct().collect())
     found = []

@@ -355,6 +355,21 @@ def test_leaks_of_whole_items(spark, benchmark):
     assert decontaminate.leaks(docs_frame(spark, docs), frame.where("false")).count() == 0
 
 
+def test_long_item_of_another_script_is_found(spark):
+    """The passages are as long as the longest item, whatever its letters."""
+    rng = random.Random(21)
+
+    def words(n):
+        return ["".join(rng.choice("абвгдежзиклмнопрстуфхцчшыэюя") for _ in range(7)) for _ in range(n)]
+
+    item = " ".join(words(150)) + ". " + " ".join(words(50)) + "."
+    items = spark.createDataFrame([(1, item), (2, "a short item. with latin letters")], "item_id long, text string")
+    rows = [(i, " ".join(words(40 * i)) + " " + item + " " + " ".join(words(90))) for i in range(4)]
+    rows += [(9, " ".join(words(300)))]
+    got = decontaminate.leaks(docs_frame(spark, rows), items).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(i, 1) for i in range(4)]
+
+
 def test_search_equals_exhaustive_scoring(spark, benchmark):
     items, docs = benchmark
     frame = spark.createDataFrame(items, "item_id long, text string")
