@@ -38,6 +38,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from riskframe.llm.common import SLAB_CHARS, bounded_batches
 
@@ -53,6 +54,11 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def _words(texts: pd.Series) -> pd.Series:
+    return texts.map(words_of)
+
+
 def split_item(text: str) -> tuple[list[str], list[str]]:
     """Question words and answer words."""
     parts = [w for w in (words_of(p) for p in _END.split(text)) if w]
@@ -73,7 +79,7 @@ def postings(items: DataFrame, key: str = "item_id", text: str = "text") -> Data
     weight) pairs."""
     base = (items.select(F.col(key).alias("item_id"), F.col(text).alias("text"))
             .where("text is not null").dropDuplicates()
-            .withColumn("words", F.expr(r"regexp_extract_all(lower(text), '[\\p{L}\\p{M}\\p{N}_]+', 0)"))
+            .withColumn("words", _words("text"))  # the words of passages are cut by the same rule
             .where("size(words) > 0"))
     n, mean = base.agg(F.count("*"), F.avg(F.size("words"))).first()
     if not n:

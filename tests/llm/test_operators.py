@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -370,6 +371,17 @@ def test_long_item_of_another_script_is_found(spark):
     assert sorted((r.doc_id, r.item_id) for r in got) == [(i, 1) for i in range(4)]
 
 
+def test_items_with_combining_marks_are_found(spark):
+    """Item and passage are cut into words by one rule."""
+    hindi = "भारत की राजधानी कौन सी है और वहाँ कितने लोग रहते हैं? दिल्ली में करोड़ों लोग रहते हैं और काम करते हैं।"
+    nfd = unicodedata.normalize("NFD", "Où êtes-vous né, à Orléans où près de Besançon, là-bas? Né à Sète, élevé à Nîmes.")
+    items = spark.createDataFrame([(1, hindi), (2, nfd)], "item_id long, text string")
+    rows = [(1, prose(90) + " " + hindi + " " + prose(50)), (2, prose(30) + " " + nfd), (3, prose(80))]
+    got = decontaminate.leaks(docs_frame(spark, rows), items).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 1), (2, 2)]
+    assert all(abs(r.score - 1) < 0.5 and r.question == r.answer == 1 for r in got)
+
+
 def test_search_equals_exhaustive_scoring(spark, benchmark):
     items, docs = benchmark
     frame = spark.createDataFrame(items, "item_id long, text string")
