@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import SLAB_CHARS, WordCache, bounded_batches, mix
+from riskframe.llm.common import WordCache, bounded_batches, mix, pieces
 from riskframe.llm.crf import Crf, marginals
 
 TRAIN_DOCS, TRAIN_RUNS, RUN = 200, 3000, 64
@@ -46,19 +46,18 @@ LETTERS = re.compile(r"[^\W\d_]+")
 def words_of(text: str) -> Iterator[list[str]]:
     """Words in lower case, as lists of bounded size; the runs of letters between
     digits if there is nothing else."""
-    if len(text) <= SLAB_CHARS:
-        low = text.lower()
-        found = WORD.findall(low) or LETTERS.findall(low)
-        # numerals such as a half sign are no letters
-        yield found if len(found) > 8 else [w for w in found if any(map(str.isalpha, w))]
-        return
-    part: list[str] = []
-    for m in LETTERS.finditer(text):
-        part.append(m[0].lower())
-        if len(part) == 200_000:
-            yield part
-            part = []
-    yield part
+    low = text.lower()
+    for rule in (WORD, LETTERS):
+        found = False
+        for part in pieces(rule, low):
+            # numerals such as a half sign are no letters
+            if not "".join(part).isalpha():
+                part = [w for w in part if any(map(str.isalpha, w))]
+            if part:
+                found = True
+                yield part
+        if found:
+            return
 
 
 def features(words: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:

@@ -237,6 +237,16 @@ def test_language_accuracy_and_odd_rows(spark, languages):
     assert langid.identify(frame.where("false")).count() == 0
 
 
+def test_words_do_not_depend_on_length():
+    ids = "abc1 de2f hello "
+    for text in (ids, ids * 300_000):
+        assert {w for part in langid.words_of(text) for w in part} == {"hello"}
+    for n in (1, 9, 3_000_000):
+        assert not list(langid.words_of("\u00bd \u00b2 " * n))
+    assert [w for part in langid.words_of("\u00bd m\u00b2 ab1 " * 10) for w in part] == ["m\u00b2"] * 10
+    assert [w for part in langid.words_of("\u00bd ab1") for w in part] == ["ab"]
+
+
 def test_words_of_code_switched_text(languages):
     model = langid.fit([(g, t) for _, t, g in languages if t])
     rng = random.Random(1)
