@@ -11,7 +11,8 @@ with letters, and its score is the mean probability of that language.
 
 Training rows are at most ``TRAIN_DOCS`` labelled documents per language, chosen
 by hash among those whose crc32(doc_id as text) mod 3 is not 1, and at most
-``TRAIN_RUNS`` runs of their words. The other documents are never learned from.
+``TRAIN_RUNS`` runs of their words, dealt evenly over the languages and, in each,
+over its documents. The other documents are never learned from.
 
 Sequences are runs of at most ``RUN`` words, so long texts cost no more per word;
 every word of a text counts. Null texts and texts without letters are ``und``
@@ -151,11 +152,15 @@ def fit(rows: list[tuple[str, str]], runs: int = TRAIN_RUNS) -> LanguageModel:
         for w, n in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:LEXICON]:
             if n > 1 and n / share[k] > 4 * max([0, *(o[w] / share[j] for j, o in enumerate(use) if j != k)]):
                 lexicon[w] = k
-    # runs of half the length, taken round robin over the documents in hash order
+    # runs of half the length in hash order; of too many, each language in turn
+    # gives one, and in a language each document in turn
     half = RUN // 2
-    pool = [(int(mix(np.array([zlib.crc32(f"{d} {i}".encode())], np.uint64))[0]), labels[d], ws[i:i + half])
-            for d, ws in enumerate(words) for i in range(0, len(ws), half)]
-    pool = sorted(pool, key=lambda x: (x[0], x[1], x[2]))[:runs]
+    turns: list[list] = [[] for _ in languages]
+    for d, ws in enumerate(words):
+        own = sorted((int(mix(np.array([zlib.crc32(f"{d} {i}".encode())], np.uint64))[0]), i) for i in range(0, len(ws), half))
+        turns[labels[d]] += [(turn, order, labels[d], ws[i:i + half]) for turn, (order, i) in enumerate(own)]
+    dealt = sorted((turn, *run[1:]) for of in turns for turn, run in enumerate(sorted(of)))
+    pool = sorted(run[1:] for run in dealt[:runs])
     crf = Crf(FEATURES, len(languages))
     model = LanguageModel(languages, lexicon, crf)
     if not pool:

@@ -261,6 +261,16 @@ def test_words_of_code_switched_text(languages):
     assert sum(a == b for a, b in zip(found, gold)) >= 42
 
 
+def test_a_long_document_leaves_runs_to_other_languages():
+    rng = random.Random(4)
+    def text(lang, n):
+        return " ".join(rng.choice(WORDS[lang]) for _ in range(n))
+
+    rows = [("en", text("en", 200_000))] + [(g, text(g, 40)) for g in ("de", "fr") for _ in range(4)]
+    model = langid.fit(rows, runs=30)
+    assert model.predict([text(g, 60) for g in ("de", "en", "fr")])[0] == ["de", "en", "fr"]
+
+
 def test_held_out_rows_are_never_learned_from(spark, languages):
     frame = spark.createDataFrame(languages, "doc_id long, text string, lang string")
     texts = {t for _, t in langid.training_rows(frame, per_language=10**6)}
