@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.llm import (decontaminate, html_extract, langid, lm_score, near_dedup, packing, pii,
-                           token_counts, token_files, topk)
+                           prefix_trie, token_counts, token_files, topk)
 from riskframe.llm.common import table
+from riskframe.llm.oracles import ORACLES  # noqa: F401  (the SQL of these queries)
 from riskframe.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(fn):
@@ -76,3 +76,8 @@ def op8_exact_top_k(spark, sf_dir):
 @query
 def op9_lm_scores(spark, sf_dir):
     return lm_score.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_conversation_trie(spark, sf_dir):
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
