@@ -5,31 +5,30 @@ from __future__ import annotations
 #: Fixed value: the polynomial of CRC-32 (reversed bits).
 _POLYNOMIAL = 3988292384
 
-#: ``crc_table``: 256 remainders, made from the polynomial; ``crc32(bytes in hex)``.
-CRC = f"""
-crc_step AS (
-  SELECT i, 0 AS k, i AS r FROM (SELECT unnest(range(256))::BIGINT AS i)
-  UNION ALL
-  SELECT i, k + 1, CASE WHEN r & 1 = 1 THEN xor(r >> 1, {_POLYNOMIAL}::BIGINT) ELSE r >> 1 END
-  FROM crc_step WHERE k < 8
-), crc_table AS (SELECT list(r ORDER BY i) AS t FROM crc_step WHERE k = 8)"""
+
+def _remainders() -> str:
+    """The 256 remainders of one byte, from the polynomial, as a SQL list."""
+    out = []
+    for r in range(256):
+        for _ in range(8):
+            r = r >> 1 ^ (_POLYNOMIAL if r & 1 else 0)
+        out.append(str(r))
+    return f"[{', '.join(out)}]::BIGINT[]"
 
 
 def crc32(hexes: str) -> str:
-    """Unsigned CRC-32 of the bytes that the SQL expression gives in hexadecimal;
-    the column ``t`` of ``crc_table`` is in scope."""
+    """Unsigned CRC-32 of the bytes that the SQL expression gives in hexadecimal."""
     return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length({hexes}), 2), "
             f"lambda i: ('0x' || substr({hexes}, i, 2))::BIGINT)), "
-            f"lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT)")
+            f"lambda c, b: xor(c >> 8, ({_remainders()})[(xor(c, b) & 255) + 1])), 4294967295::BIGINT)")
 
 
 CONVERSATION_TRIE = f"""
-WITH RECURSIVE {CRC},
-own AS (
+WITH own AS (
   SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}}
                        ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
   FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
-shared AS (SELECT o.*, {crc32("hex(encode(conv_id::VARCHAR))")} % 6 AS h FROM own o, crc_table),
+shared AS (SELECT o.*, {crc32("hex(encode(conv_id::VARCHAR))")} % 6 AS h FROM own o),
 rebuilt AS (
   SELECT s.conv_id, list_concat(coalesce(b.turns[1:s.h], []), s.turns[s.h + 1:]) AS turns
   FROM shared s LEFT JOIN own b ON b.conv_id = s.conv_id - s.conv_id % 100),
@@ -53,4 +52,32 @@ FROM full_nodes n JOIN subtree s USING (depth, node)
 LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.node = n.parent
 """
 
-ORACLES: dict[str, str] = {"op12_conversation_trie": CONVERSATION_TRIE}
+_WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')")
+_RUNS = """list_concat(words, list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]),
+                     list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]))"""
+IMPORTANCE = f"""
+WITH worded AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS words FROM documents),
+feature AS (SELECT r, unnest({_RUNS}) AS f FROM worded),
+goal AS (SELECT unnest({_RUNS}) AS f FROM (SELECT {_WORDS} AS words FROM benchmark)),
+bucket AS (SELECT f, {crc32("hex(encode(f))")} % 10000 AS b FROM (SELECT f FROM feature UNION SELECT f FROM goal)),
+s AS (SELECT b, count(*) AS n FROM feature JOIN bucket USING (f) GROUP BY b),
+t AS (SELECT b, count(*) AS n FROM goal JOIN bucket USING (f) GROUP BY b),
+gain AS (
+  SELECT b, floor(1000.0::DOUBLE * ln((coalesce(t.n, 0)::DOUBLE + 1) * ((SELECT coalesce(sum(n), 0) FROM s)::DOUBLE + 10000)
+                  / ((coalesce(s.n, 0)::DOUBLE + 1) * ((SELECT coalesce(sum(n), 0) FROM t)::DOUBLE + 10000))))::BIGINT AS g
+  FROM s FULL JOIN t USING (b)),
+weight AS (SELECT r, count(*) AS n_features, sum(g)::BIGINT AS weight
+           FROM feature JOIN bucket USING (f) JOIN gain USING (b) GROUP BY r),
+scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, len(words) >= 20 AS able,
+         coalesce(weight, 0) + floor(-1000.0::DOUBLE * ln(-ln((('0x' || substr(sha256('42:' || doc_id), 1, 8))::BIGINT::DOUBLE + 0.5)
+                                                             / 4294967296.0::DOUBLE)))::BIGINT AS score
+  FROM worded LEFT JOIN weight USING (r)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id) AS place FROM scored)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN able AND place <= (SELECT 5 * count(*) // 100 FROM scored WHERE able) THEN place END AS rank
+FROM ranked
+"""
+
+ORACLES: dict[str, str] = {"op12_conversation_trie": CONVERSATION_TRIE, "op11_importance_resampling": IMPORTANCE}

@@ -34,9 +34,10 @@ import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.llm.common import running, zero
 from riskframe.session import written
 
 #: Turns of one conversation that a join may bring to one task.
@@ -46,38 +47,6 @@ RUN = 10_000
 NAME = ["k1", "k2", "depth"]
 
 
-def zero() -> Column:
-    return F.lit(0).cast("long")
-
-
-def running(rows: DataFrame, key: list[str], order: list[Column], folds: dict[str, tuple[str, Column]]) -> DataFrame:
-    """``rows`` with running values along ``order`` within ``key``, the row itself
-    included. ``folds``: new column -> ("sum" or "bit_xor", what). The order is cut
-    into range partitions, also inside one key; each partition takes its own running
-    values and starts from what the earlier ones hold."""
-    def total(c: str) -> Column:
-        return (F.sum if folds[c][0] == "sum" else F.bit_xor)(f"_of_{c}")
-
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = written(rows.withColumns({f"_of_{c}": what for c, (_, what) in folds.items()})
-                     .repartitionByRange(parts, *key, *order).withColumn("_part", F.spark_partition_id()), "ranges")
-    before = Window.partitionBy(*key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # a key has an offset only where it goes on from an earlier partition, so
-    # there is at most one offset per partition
-    offsets = (ranged.groupBy(*key, "_part").agg(*[total(c).alias(f"_of_{c}") for c in folds])
-               .withColumns({f"_from_{c}": total(c).over(before) for c in folds})
-               .where(F.coalesce(*[f"_from_{c}" for c in folds]).isNotNull())
-               .select(*key, "_part", *[f"_from_{c}" for c in folds]))
-    inside = Window.partitionBy(*key, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    out = (ranged.withColumns({f"_run_{c}": total(c).over(inside) for c in folds})
-           .join(F.broadcast(offsets), [*key, "_part"], "left"))
-    values = []
-    for c, (kind, _) in folds.items():
-        run, start = F.col(f"_run_{c}"), F.coalesce(f"_from_{c}", zero())
-        values.append((run + start if kind == "sum" else run.bitwiseXOR(start)).alias(c))
-    return out.select(*rows.columns, *values)
-
-
 def turns_of(conversations: DataFrame, key: str, turn: str, role: str, text: str) -> DataFrame:
     """(conv_id, place, h1, h2, chars): the turns of every conversation, numbered
     from 1, each by two hashes of role and text."""

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.llm import (decontaminate, html_extract, langid, lm_score, near_dedup, packing, pii,
-                           prefix_trie, token_counts, token_files, topk)
+                           prefix_trie, resampling, token_counts, token_files, topk)
 from riskframe.llm.common import table
 from riskframe.llm.oracles import ORACLES  # noqa: F401  (the SQL of these queries)
 from riskframe.session import shared_path
@@ -81,3 +81,8 @@ def op9_lm_scores(spark, sf_dir):
 @query
 def op12_conversation_trie(spark, sf_dir):
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op11_importance_resampling(spark, sf_dir):
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
