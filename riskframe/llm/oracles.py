@@ -80,4 +80,29 @@ SELECT doc_id, n_features, weight, score,
 FROM ranked
 """
 
-ORACLES: dict[str, str] = {"op12_conversation_trie": CONVERSATION_TRIE, "op11_importance_resampling": IMPORTANCE}
+#: White space here is blank, tab, line feed, vertical tab, form feed, carriage return.
+JACCARD = r"""
+WITH RECURSIVE worded AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS words FROM documents),
+runs AS (
+  SELECT r, doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+         ELSE list_sort(list_distinct(list_transform(range(1, len(words) - 1),
+              lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]))) END AS shingles FROM worded),
+point AS (SELECT shingles, min(r) AS p FROM runs WHERE len(shingles) > 0 GROUP BY shingles),
+element AS (SELECT p, len(shingles) AS n, unnest(shingles) AS e FROM point),
+link AS (
+  SELECT a.p AS x, b.p AS y FROM element a JOIN element b ON a.e = b.e AND a.p <> b.p
+  WHERE 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY a.p, b.p HAVING 100 * count(*) >= 90 * (any_value(a.n) + any_value(b.n) - count(*))),
+reach AS (SELECT p AS x, p AS y FROM point UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x),
+root AS (SELECT x AS p, min(y) AS root FROM reach GROUP BY x),
+placed AS (SELECT r.r, r.doc_id, len(r.shingles) AS n, o.root FROM runs r LEFT JOIN point USING (shingles) LEFT JOIN root o USING (p)),
+least_id AS (SELECT root, min(doc_id) AS component_id FROM placed WHERE root IS NOT NULL GROUP BY root)
+SELECT doc_id, n AS n_shingles, CASE WHEN root IS NULL THEN doc_id ELSE component_id END AS component_id
+FROM placed LEFT JOIN least_id USING (root)
+"""
+
+ORACLES: dict[str, str] = {"op11_importance_resampling": IMPORTANCE, "op12_conversation_trie": CONVERSATION_TRIE,
+                           "op13_jaccard_components": JACCARD}

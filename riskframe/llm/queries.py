@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import (decontaminate, html_extract, langid, lm_score, near_dedup, packing, pii,
+from riskframe.llm import (decontaminate, html_extract, jaccard_join, langid, lm_score, near_dedup, packing, pii,
                            prefix_trie, resampling, token_counts, token_files, topk)
 from riskframe.llm.common import table
 from riskframe.llm.oracles import ORACLES  # noqa: F401  (the SQL of these queries)
@@ -86,3 +86,8 @@ def op12_conversation_trie(spark, sf_dir):
 @query
 def op11_importance_resampling(spark, sf_dir):
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_jaccard_components(spark, sf_dir):
+    return jaccard_join.components(table(spark, sf_dir, "documents"))
