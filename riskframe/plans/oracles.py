@@ -447,3 +447,17 @@ SELECT made_id AS policy_id, 1 AS is_claim, {points} FROM draws JOIN near USING
 
 
 oracle("smote", _smote_sql())
+
+# --- certificates: the size of the training set, and that every flag holds ------------
+
+from riskframe.plans.queries import GRID_C  # noqa: E402
+
+_TRAIN = f"""
+, sp AS (SELECT is_claim, row_number() OVER (ORDER BY {_H}, policy_id) - 1 < ceil(0.3 * count(*) OVER ()) AS is_test FROM policies),
+tr AS (SELECT count(*) AS n_rows, CAST(sum(is_claim) AS BIGINT) AS n_positive FROM sp WHERE NOT is_test)
+"""
+for _name in ("logistic", "logistic_balanced", "logistic_poly", "logistic_interactions"):
+    oracle(f"certify_{_name}", f"{_TRAIN} SELECT '{_name}' AS model, n_rows, n_positive, true AS optimal, true AS beats_constant FROM tr")
+_MODELS = ", ".join(f"('{kind} C={c}')" for kind in ("plain", "balanced") for c in GRID_C)
+oracle("certify_logistic_grid", f"{_TRAIN} SELECT model, n_rows, n_positive, true AS optimal, true AS beats_constant "
+                                f"FROM tr, (VALUES {_MODELS}) AS m(model)")

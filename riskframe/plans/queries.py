@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -346,7 +347,7 @@ def q_concat_results(spark, sf):
 
 # --- models, resampling, tuning, ensembles, streaming ------------------------------
 
-from riskframe.operators import ensemble as EN, knn as KN, models as MO, tuning as TU  # noqa: E402
+from riskframe.operators import certify as CE, ensemble as EN, knn as KN, models as MO, tuning as TU  # noqa: E402
 from riskframe.plans import claims as CL  # noqa: E402
 
 
@@ -374,20 +375,19 @@ def q_logistic_poly(spark, sf):
     return CL.evaluate_estimator(spark, "logistic_poly", est, tr, te)
 
 
+def _interactions(df):
+    from pyspark.ml.functions import vector_to_array as v2a
+    names = [f"f{i}" for i in range(len(df.first()["features"]))]
+    inter = FE.Interactions(names)
+    arr = df.withColumns({n: v2a(F.col("features"))[i] for i, n in enumerate(names)})
+    return FE.assemble(inter.transform(arr), inter.output_columns(), "_int").select(KEY, "label", "_int")
+
+
 @query("logistic_interactions")
 def q_logistic_interactions(spark, sf):
     """Interaction-only degree-2 terms of the selected features + scaling + LR."""
     tr, te, _ = _prepared(spark, sf)
-    d = len(tr.first()["features"])
-    names = [f"f{i}" for i in range(d)]
-    inter = FE.Interactions(names)
-
-    def expand(df):
-        arr = df.withColumn("_a", F.col("features"))
-        from pyspark.ml.functions import vector_to_array as v2a
-        arr = arr.withColumns({n: v2a(F.col("_a"))[i] for i, n in enumerate(names)})
-        return FE.assemble(inter.transform(arr), inter.output_columns(), "_int").select(KEY, "label", "_int")
-    a, b = expand(tr), expand(te)  # inputs were standardised upstream
+    a, b = _interactions(tr), _interactions(te)  # inputs were standardised upstream
     return CL.evaluate_estimator(spark, "logistic_interactions", MO.Logistic(C=1.0, features="_int"), a, b)
 
 
@@ -398,6 +398,47 @@ def q_logistic_balanced(spark, sf):
                                  _balanced(tr), te)
 
 
+CERTIFIED = 1e-4  # largest proven gap, as a share of the objective
+GRID_C = [0.1, 0.5, 1.0, 5.0]
+
+
+def _certified(spark, name, rows, C=1.0, weight=None, features="features"):
+    model = MO.Logistic(C=C, weight_col=weight, features=features).fit(rows)
+    return CE.certificate(spark, name, CE.logistic_gap(model, rows, C, weight, features), CERTIFIED)
+
+
+@query("certify_logistic")
+def q_certify_logistic(spark, sf):
+    """Proof from the training rows that the fit of ``logistic`` is the optimum."""
+    return _certified(spark, "logistic", _prepared(spark, sf)[0])
+
+
+@query("certify_logistic_balanced")
+def q_certify_logistic_balanced(spark, sf):
+    return _certified(spark, "logistic_balanced", _balanced(_prepared(spark, sf)[0]), weight="w")
+
+
+@query("certify_logistic_poly")
+def q_certify_logistic_poly(spark, sf):
+    from pyspark.ml.feature import PolynomialExpansion
+    rows = PolynomialExpansion(degree=2, inputCol="features", outputCol="_poly").transform(_prepared(spark, sf)[0])
+    return _certified(spark, "logistic_poly", rows.select("label", "_poly").persist(), features="_poly")
+
+
+@query("certify_logistic_interactions")
+def q_certify_logistic_interactions(spark, sf):
+    return _certified(spark, "logistic_interactions", _interactions(_prepared(spark, sf)[0]).persist(), features="_int")
+
+
+@query("certify_logistic_grid")
+def q_certify_grid(spark, sf):
+    """Each C of the tuning grid, plain and balanced."""
+    tr, _, _ = _prepared(spark, sf)
+    b = _balanced(tr)
+    rows = [_certified(spark, f"{kind} C={c}", b, c, weight) for kind, weight in (("plain", None), ("balanced", "w")) for c in GRID_C]
+    return reduce(DataFrame.unionByName, rows)
+
+
 @query("decision_tree")
 def q_decision_tree(spark, sf):
     tr, te, _ = _prepared(spark, sf)
