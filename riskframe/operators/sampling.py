@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -148,6 +148,55 @@ def smote(df: DataFrame, key: str, label: str, features: list[str], k: int = 5,
     return cast_df.unionByName(out, allowMissingColumns=True)
 
 
+def smote_in_folds(df: DataFrame, key: str, label: str, features: list[str], fold: str = "fold", k: int = 5,
+                   strategy: float = 1.0, seed: int = 17, minority=1) -> DataFrame:
+    """The synthetic minority rows of every training set of a cross-validation:
+    ``(excluded, key, label, *features)``, one set per fold held out, each made as by
+    ``smote`` from the rows of the other folds alone.
+
+    One neighbour join serves all folds: it keeps the k nearest minority rows of every
+    fold, so the k nearest outside a fold are among those of the remaining ones. The rest
+    is one pass over rows x folds. Keys are strings, ``<key>_syn<j>``, unique within a set.
+    Raises if a training set's minority has no k other rows."""
+    from riskframe.operators.knn import knn_join
+    sizes = {}
+    for r in df.groupBy(fold, label).count().collect():  # folds x classes
+        sizes.setdefault(r[fold], {})[r[label]] = r["count"]
+    plan = {}
+    for e in sizes:
+        rest: dict = {}
+        for f, classes in sizes.items():
+            for c, n in classes.items():
+                rest[c] = rest.get(c, 0) + (n if f != e else 0)
+        few, many = rest.get(minority, 0), max([n for c, n in rest.items() if c != minority] or [0])
+        made = max(0, int(strategy * many) - few)
+        if made and few <= k:
+            raise ValueError(f"without fold {e}, {few} rows of class {minority} have no {k} neighbours each")
+        plan[e] = divmod(made, few) if made else (0, 0)
+    mino = df.where(F.col(label) == F.lit(minority)).select(
+        F.col(key).cast("string").alias("_id"), F.col(fold).alias("_fold"),
+        F.array(*[F.col(c).cast("double") for c in features]).alias("_x"))
+    near = knn_join(mino, mino, k, qkey="_id", rkey="_id", vec="_x", exclude_self=True, seed=seed, carry="_x", per="_fold")
+    held = F.explode(F.array(*[F.lit(e) for e in plan])).alias("excluded")
+    order = Window.partitionBy("_id", "excluded").orderBy("dist", "nn")
+    near = (near.drop("rank").select("*", held).where(F.col("_fold") != F.col("excluded"))
+            .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+            .select("_id", "excluded", "rank", F.col("_x").alias("_xn")))
+    rows = mino.select("*", held).where(F.col("_fold") != F.col("excluded"))
+    cuts = hash_cuts(rows, "_id", seed, "excluded", {e: [rest] for e, (_, rest) in plan.items()})
+    times = F.lit(0)
+    for e, (each, rest) in plan.items():
+        times = F.when(F.col("excluded") == F.lit(e), F.lit(each) + (hash_hex("_id", seed) < cuts[e, rest]).cast("int")).otherwise(times)
+    tag = F.concat(F.col("_id"), F.lit("#"), F.col("_j").cast("string"))
+    base = (rows.withColumn("_m", times).where("_m > 0").withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_m") - 1)))
+            .withColumn("rank", (F.floor(uniform_hash(tag, seed) * k) + 1).cast("int")).withColumn("_u", uniform_hash(tag, seed + 1)))
+    made = (base.join(near, ["_id", "excluded", "rank"])
+            .withColumn("_new", F.zip_with("_x", "_xn", lambda a, b: a + F.col("_u") * (b - a))))
+    return made.select("excluded", F.concat(F.col("_id"), F.lit("_syn"), F.col("_j").cast("string")).alias(key),
+                       F.lit(minority).cast(df.schema[label].dataType).alias(label),
+                       *[F.col("_new")[i].alias(c) for i, c in enumerate(features)])
+
+
 class ResampleThenFit:
     """Estimator whose ``fit`` resamples the training rows, then fits the
     wrapped estimator; the fitted model never resamples (scoring rows stay

@@ -461,3 +461,58 @@ for _name in ("logistic", "logistic_balanced", "logistic_poly", "logistic_intera
 _MODELS = ", ".join(f"('{kind} C={c}')" for kind in ("plain", "balanced") for c in GRID_C)
 oracle("certify_logistic_grid", f"{_TRAIN} SELECT model, n_rows, n_positive, true AS optimal, true AS beats_constant "
                                 f"FROM tr, (VALUES {_MODELS}) AS m(model)")
+
+# --- resampling inside folds, and the neighbour grid ------------------------------------
+
+from riskframe.plans.queries import KNN_GRID  # noqa: E402
+
+
+def _folds_sql(key: str, label: str, table: str) -> str:
+    return (f"SELECT *, CAST((row_number() OVER (PARTITION BY {label} ORDER BY {hash_hex_sql(key, 17)}, {key}) - 1) * 5 "
+            f"// count(*) OVER (PARTITION BY {label}) AS INTEGER) AS fold FROM {table}")
+
+
+def _smote_folds_sql(seed: int = 17, k: int = 5) -> str:
+    x = ", ".join(f"CAST(coalesce({c}, 0) AS DOUBLE)" if c == "qty" else f"CAST({c} AS DOUBLE)" for c in SMOTE_COLUMNS)
+    points = ", ".join(f"{S(f'a[{i}] + u * (b[{i}] - a[{i}])')} AS {c}" for i, c in enumerate(SMOTE_COLUMNS, 1))
+    draw = {s: uniform_hash_sql("tag", s) for s in (seed, seed + 1)}
+    return f"""
+, folded AS ({_folds_sql("policy_id", "is_claim", "policies")}),
+held AS (SELECT CAST(unnest(range(5)) AS INTEGER) AS excluded),
+few AS (SELECT excluded, policy_id AS id, [{x}] AS v,
+               row_number() OVER (PARTITION BY excluded ORDER BY {hash_hex_sql('policy_id', seed)}) - 1 AS r
+        FROM folded JOIN held ON fold <> excluded WHERE is_claim = 1),
+n AS (SELECT excluded, count(*) FILTER (WHERE is_claim = 1) AS few,
+             count(*) FILTER (WHERE is_claim = 0) - count(*) FILTER (WHERE is_claim = 1) AS made
+      FROM folded JOIN held ON fold <> excluded GROUP BY excluded),
+near AS (SELECT * FROM (
+           SELECT p.excluded, p.id, q.v AS b,
+                  row_number() OVER (PARTITION BY p.excluded, p.id ORDER BY list_distance(p.v, q.v), q.id) AS rank
+           FROM few p JOIN few q ON p.excluded = q.excluded AND p.id <> q.id) WHERE rank <= {k}),
+tags AS (SELECT few.excluded, id, v AS a, id || '#' || CAST(j AS VARCHAR) AS tag, id || '_syn' || CAST(j AS VARCHAR) AS made_id
+         FROM few JOIN n USING (excluded), LATERAL (SELECT unnest(range(n.made // n.few + CAST(r < n.made % n.few AS BIGINT))) AS j)),
+draws AS (SELECT *, floor({draw[seed]} * {k}) + 1 AS rank, {draw[seed + 1]} AS u FROM tags)
+SELECT excluded, made_id AS policy_id, 1 AS is_claim, {points} FROM draws JOIN near USING (excluded, id, rank)"""
+
+
+oracle("smote_in_folds", _smote_folds_sql())
+
+_ks, _kinds, _metrics = KNN_GRID
+_MEASURES = {"euclidean": "list_distance(q.v, r.v)",
+             "manhattan": "list_sum(list_transform(list_zip(q.v, r.v), lambda p: abs(p[1] - p[2])))"}
+oracle("knn_grid", _EMB + f"""
+, f AS ({_folds_sql("vec_id", "label", "e")}),
+""" + ",\n".join(f"""d_{m} AS (SELECT q.vec_id, q.fold, q.label AS truth, r.label AS vote, r.vec_id AS nn, {_MEASURES[m]} AS dist
+ FROM f q JOIN f r ON q.fold <> r.fold)""" for m in _metrics) + f""",
+d AS ({" UNION ALL ".join(f"SELECT '{m}' AS metric, * FROM d_{m}" for m in _metrics)}),
+near AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY metric, vec_id ORDER BY dist, nn) AS rank FROM d) WHERE rank <= {max(_ks)}),
+cand AS (SELECT near.*, k, kind FROM near JOIN (SELECT unnest({_ks}) AS k) ON rank <= k, (SELECT unnest({_kinds}) AS kind)),
+w AS (SELECT *, CASE WHEN kind = 'uniform' THEN 1.0 WHEN max(dist = 0) OVER (PARTITION BY metric, kind, k, vec_id) THEN CAST(dist = 0 AS DOUBLE)
+              ELSE 1.0 / dist END AS w FROM cand),
+s AS (SELECT metric, kind, k, vec_id, fold, truth, vote, sum(w) AS s FROM w GROUP BY ALL),
+b AS (SELECT metric, kind, k, fold, truth, CAST(vote = truth AS INTEGER) AS hit FROM (
+        SELECT *, row_number() OVER (PARTITION BY metric, kind, k, vec_id ORDER BY s DESC, vote) AS o FROM s) WHERE o = 1),
+c AS (SELECT metric, kind, k, fold, truth, count(*) AS n, sum(hit) AS hits FROM b GROUP BY ALL)
+SELECT CAST(k AS INTEGER) AS k, kind AS weights, metric, fold, CAST(sum(n) AS BIGINT) AS n, {S('sum(hits) / sum(n)')} AS accuracy,
+       {S('avg(hits / n)')} AS recall
+FROM c GROUP BY metric, kind, k, fold""", policies=False)

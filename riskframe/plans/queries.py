@@ -568,6 +568,36 @@ def q_resample_in_fold(spark, sf):
     return CL.evaluate_estimator(spark, "logistic_smote", est, tr, te)
 
 
+@query("smote_in_folds")
+def q_smote_in_folds(spark, sf):
+    """The synthetic rows of each of five training sets, from one neighbour join."""
+    p = SA.stratified_kfold(CL.cleaned(policies(spark, sf)).select(KEY, LABEL, *SMOTE_COLUMNS), KEY, LABEL, 5, 17)
+    return rounded(SA.smote_in_folds(p, KEY, LABEL, SMOTE_COLUMNS, "fold", k=5))
+
+
+@query("grid_search_smote")
+def q_grid_search_smote(spark, sf):
+    """Logistic regression over C with SMOTE inside every training fold."""
+    tr, _, _ = _prepared(spark, sf)
+    names = [f"f{i}" for i in range(len(tr.first()["features"]))]
+    f = CL.as_vectors(CL.with_folds(tr, 5)).select(KEY, "label", "fold", *[F.col("vec")[i].alias(n) for i, n in enumerate(names)])
+    made = FE.assemble(SA.smote_in_folds(f, KEY, "label", names, "fold", k=5), names).select("excluded", KEY, "label", "features").persist()
+    results, _, _ = TU.grid_search(lambda C: MO.Logistic(C=C), {"C": [0.1, 0.5, 1.0]}, FE.assemble(f, names), KEY,
+                                   refit_best=False, synthetic=made)
+    return results
+
+
+KNN_GRID = ([3, 5, 7, 11], ["uniform", "distance"], ["euclidean", "manhattan"])
+
+
+@query("knn_grid")
+def q_knn_grid(spark, sf):
+    """16 candidates on 5 folds of the embeddings from two neighbour joins."""
+    e = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", F.col("embedding").alias("vec"), "label")
+    folds = SA.stratified_kfold(e, "vec_id", "label", 5, 17)
+    return rounded(KN.knn_grid(folds, *KNN_GRID, key="vec_id", vec="vec", label="label"))
+
+
 @query("grid_search")
 def q_grid_search(spark, sf):
     """Balanced logistic regression over C, 5 stratified folds, every metric per

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from riskframe.operators import sampling as SA
@@ -54,3 +55,21 @@ def test_smote_parity_and_segments(spark):
                 break
         ok += found
     assert ok == len(syn)
+
+
+def test_smote_in_folds_equals_smote_of_each_training_set(spark):
+    import random
+    rng = random.Random(2)
+    rows = [(f"p{i}", int(i % 5 == 0), rng.random() + 1000 * (i % 3), rng.random(), i % 3) for i in range(150)]
+    df = spark.createDataFrame(rows, "id string, y int, a double, b double, fold int").repartition(3)
+    got = SA.smote_in_folds(df, "id", "y", ["a", "b"], "fold", k=3).collect()
+    by_fold = {e: sorted((r["id"], round(r["a"], 9), round(r["b"], 9)) for r in got if r["excluded"] == e) for e in range(3)}
+    for e in (2,):
+        train = df.where(f"fold <> {e}").drop("fold")
+        want = SA.smote(train, "id", "y", ["a", "b"], k=3).where("id like '%_syn%'").collect()
+        assert by_fold[e] == sorted((r["id"], round(r["a"], 9), round(r["b"], 9)) for r in want) and by_fold[e]
+        # no synthetic point comes from a held-out row
+        assert not {i.split("_syn")[0] for i, _, _ in by_fold[e]} & {r[0] for r in rows if r[4] == e}
+        assert all(not 1000 * e <= a <= 1000 * e + 1 for _, a, _ in by_fold[e])
+    with pytest.raises(ValueError):
+        SA.smote_in_folds(df, "id", "y", ["a", "b"], "fold", k=25)
