@@ -2,7 +2,11 @@
 
 1. Every page is read into blocks of text and the containers around them; menus,
    headers, footers, sidebars, notices, adverts, forms and comments are known by
-   their tags and class words. Each remaining block gives its length, less three
+   their tags and class words. A tag drops the part. A class word only casts doubt on
+   a block-level part, as articles carry such words too (``post category-social``): it
+   stays if it is an article by tag or class and holds ``ARTICLE_PART`` of the page's
+   text outside links, or if it holds ``MAIN_PART`` of it and nothing else on the page
+   is an article. Each remaining block gives its length, less three
    times that of its links, to its container, half of it to the next one out, and
    so on; the best container is the page's candidate.
 2. A container's path is its chain of tags and class words with digits
@@ -35,6 +39,7 @@ from riskframe.llm.common import bounded_batches
 from riskframe.session import written
 
 SHARE, RANKS = 0.2, 5
+ARTICLE_PART, MAIN_PART = 0.5, 0.8
 BROADCAST_ROWS = 100_000
 SALTS = 32
 
@@ -46,6 +51,8 @@ CONTAINER = frozenset("article blockquote body center dd div dl fieldset figure
                       "table tbody td tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea noscript iframe template svg math xmp noembed noframes".split())
+#: Of these, not raw text: where the end tag is missing, the page goes on after the start tag.
+MARKUP = frozenset(["svg", "math", "template"])
 #: Tags whose content is never main text.
 OUTSIDE = frozenset("nav aside footer form button select option datalist dialog menu head object audio "
                     "video canvas map label input fieldset".split())
@@ -59,6 +66,8 @@ OUTSIDE_WORDS = frozenset(
 #: The same, but only outside an article, which may have a header of its own.
 OUTER_WORDS = frozenset(["header", "head", "top"])
 ARTICLE_WORDS = frozenset(["article", "content", "entry", "post", "story"])
+#: Signs of an article on a part that class words cast doubt on.
+SIGNS = ARTICLE_WORDS | {"hentry", "main"}
 GOOD_WORDS = frozenset("article content entry main post story text body".split())
 #: An open tag of the key is closed by these start tags.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -82,17 +91,39 @@ class Page:
         self.containers: list[tuple[int, str, str, frozenset]] = []
         self._text: list[str] = []
         self._links = 0
-        # open elements: tag, own container or that around it, outside?, in an article?
-        self._stack: list[tuple[str, int, bool, bool]] = [("", -1, False, False)]
+        #: parts in doubt (article by its signs?), and around each block the numbers of these
+        self._doubts: list[bool] = []
+        self._around: list[tuple[int, ...]] = []
+        # open elements: tag, own container or that around it, outside?, in an article?, doubts around it
+        self._stack: list[tuple[str, int, bool, bool, tuple[int, ...]]] = [("", -1, False, False, ())]
         self._anchors = 0
         self._read(source)
         self._flush()
+        if self._doubts:
+            self._settle()
+
+    def _settle(self):
+        """Leave out the blocks of parts whose doubts are right."""
+        share = [0.0] * len(self._doubts)
+        total, article = 0.0, False
+        for (text, links, at), around in zip(self.blocks, self._around):
+            gain = max(0.0, len(text) - 3.0 * links)
+            total += gain
+            for d in around:
+                share[d] += gain
+            while not around and not article and at >= 0:
+                at, _, tag, words = self.containers[at]
+                article = tag in ("article", "main") or bool(words & SIGNS)
+        stays = [x > 0 and (x >= ARTICLE_PART * total if signed else not article and x >= MAIN_PART * total)
+                 for x, signed in zip(share, self._doubts)]
+        self.blocks = [b for b, around in zip(self.blocks, self._around) if all(stays[d] for d in around)]
 
     def _flush(self):
         if self._text:
             joined = " ".join("".join(self._text).split())
             if joined:
                 self.blocks.append((joined, self._links, self._stack[-1][1]))
+                self._around.append(self._stack[-1][4])
             self._text, self._links = [], 0
 
     def _add(self, raw: str):
@@ -137,9 +168,9 @@ class Page:
                 elif tag in RAW:
                     if not m[3].endswith("/"):
                         found = re.compile(f"</{re.escape(tag)}\\b[^>]*>", re.I).search(s, at)
-                        if found is None:
+                        if found is None and tag not in MARKUP:
                             return
-                        at = found.end()
+                        at = found.end() if found else at
                 else:
                     self._start(tag, m[3])
             else:
@@ -177,7 +208,7 @@ class Page:
             self._add(" ")
         if tag in VOID or (rest.endswith("/") and tag not in BLOCK):
             return
-        _, container, outside, article = self._stack[-1]
+        _, container, outside, article, doubts = self._stack[-1]
         if tag == "a":
             self._anchors += 1
         elif tag in BLOCK or tag in OUTSIDE or tag == "span":
@@ -187,16 +218,20 @@ class Page:
             names = f"{given.get('class', '')} {given.get('id', '')}"
             words = frozenset(_WORDS.findall(_CAMEL.sub(" ", names).lower()))
             if tag not in ("html", "body", "main"):
-                outside = (outside or tag in OUTSIDE or "hidden" in given or bool(words & OUTSIDE_WORDS)
+                doubtful = bool(words & OUTSIDE_WORDS) or not article and bool(words & OUTER_WORDS)
+                outside = (outside or tag in OUTSIDE or "hidden" in given or doubtful and tag not in BLOCK
                            or given.get("role", "").lower() in ("navigation", "banner", "contentinfo", "search", "complementary", "dialog", "alert")
-                           or not article and (tag == "header" or bool(words & OUTER_WORDS)))
+                           or not article and tag == "header")
+                if doubtful and not outside:
+                    doubts = (*doubts, len(self._doubts))
+                    self._doubts.append(tag == "article" or bool(words & SIGNS))
             if tag in CONTAINER:
                 step = ".".join([tag, *sorted({re.sub(r"\d+", "#", c.lower()) for c in given.get("class", "").split()})])
                 above = f"{self.containers[container][1]}/" if container >= 0 else ""
                 self.containers.append((container, above + step, tag, words))
                 container = len(self.containers) - 1
                 article = article or tag in ("article", "main") or bool(words & ARTICLE_WORDS)
-        self._stack.append((tag, container, outside, article))
+        self._stack.append((tag, container, outside, article, doubts))
 
     def _end(self, tag: str):
         if tag == "br":
