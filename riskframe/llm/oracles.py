@@ -104,5 +104,38 @@ SELECT doc_id, n AS n_shingles, CASE WHEN root IS NULL THEN doc_id ELSE componen
 FROM placed LEFT JOIN least_id USING (root)
 """
 
-ORACLES: dict[str, str] = {"op11_importance_resampling": IMPORTANCE, "op12_conversation_trie": CONVERSATION_TRIE,
-                           "op13_jaccard_components": JACCARD}
+TOP_K = """
+WITH good AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(x::DOUBLE * 1024) AS BIGINT)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pair AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM good q JOIN good c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pair)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+#: The white space that words are split at.
+_WHITE = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+BACKOFF = f"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^{_WHITE}]+') AS words FROM documents),
+uni AS (SELECT w, count(*) AS c FROM (SELECT unnest(words) AS w FROM doc) GROUP BY w),
+total AS (SELECT sum(c)::DOUBLE AS n FROM uni),
+own AS (
+  SELECT r, p.v AS v, p.w AS w, count(*) AS n
+  FROM (SELECT r, unnest(list_transform(range(1, len(words)), lambda i: {{'v': words[i], 'w': words[i + 1]}})) AS p FROM doc) GROUP BY ALL),
+bi AS (SELECT v, w, sum(n) AS c FROM own GROUP BY ALL),
+part AS (
+  SELECT r, sum(CASE WHEN bi.c > own.n THEN own.n * ln(bi.c / a.c) ELSE own.n * ln(0.4 * b.c / total.n) END) AS s,
+         sum(CASE WHEN bi.c > own.n THEN 0 ELSE own.n END) AS back
+  FROM own JOIN bi USING (v, w) JOIN uni a ON a.w = own.v JOIN uni b ON b.w = own.w, total GROUP BY r),
+scored AS (
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(back, 0) AS BIGINT) AS n_backoff,
+         round(CASE WHEN len(words) = 0 THEN 0.0 ELSE ln(uni.c / total.n) + coalesce(s, 0) END, 6) AS log_score
+  FROM doc LEFT JOIN part USING (r) LEFT JOIN uni ON uni.w = words[1], total)
+SELECT *, CASE WHEN n_words > 0 THEN round(log_score / n_words, 6) END AS mean_log FROM scored
+"""
+
+ORACLES: dict[str, str] = {"op8_exact_top_k": TOP_K, "op9_lm_scores": BACKOFF, "op11_importance_resampling": IMPORTANCE,
+                           "op12_conversation_trie": CONVERSATION_TRIE, "op13_jaccard_components": JACCARD}
