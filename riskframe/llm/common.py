@@ -32,6 +32,14 @@ def texts_of(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 class WordCache:
     """Value of each word, computed once per worker while it is remembered.
 

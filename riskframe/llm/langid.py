@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import WordCache, bounded_batches, mix, pieces
+from riskframe.llm.common import bounded_batches, free_name, mix, pieces, WordCache
 from riskframe.llm.crf import Crf, marginals
 
 TRAIN_DOCS, TRAIN_RUNS, RUN = 200, 3000, 64
@@ -220,6 +220,6 @@ def accepted(docs: DataFrame, least: float = 0.4, key: str = "doc_id", text: str
     """The rows, with all their columns, whose text has a language: not ``und``,
     and a score of at least ``least``."""
     model = fit(training_rows(docs, key=key, text=text, lang=lang))
-    found = "__language"
+    found = free_name(docs, "__language")
     return (docs.withColumn(found, language(docs.sparkSession, model, F.col(text)))
             .where((F.col(f"{found}.lang_pred") != "und") & (F.col(f"{found}.score") >= least)).drop(found))

@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import bounded_batches, mix, texts_of
+from riskframe.llm.common import bounded_batches, free_name, mix, texts_of
 from riskframe.llm.shingles import shingle_hashes
 from riskframe.session import written
 
@@ -294,7 +294,7 @@ def one_of_each(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` with all columns and one row of each near-duplicate class: the
     first by position in the table. Rows are numbered once and written, also those
     of a table: how its files are packed into partitions may change from job to job."""
-    number = "__row"
+    number = free_name(docs, "__row")
     rows = written(docs.withColumn(number, F.monotonically_increasing_id()), "rows")
     kept = (near_duplicates(rows, key=number, text=text, **options)
             .where("doc_id = class_id").select(F.col("class_id").alias(number)))

@@ -599,3 +599,18 @@ def test_pipeline_on_a_small_corpus(spark, tmp_path, languages):
     empty = docs.where("false")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, str(tmp_path)).count() == 0
+
+
+def test_stages_keep_columns_named_like_their_own(spark, tmp_path):
+    import corpus_pipeline
+
+    extra = {"__language": "a", "__row": "b", "__leaks": "c", "__length": "d", "__LEAKS_": "e"}
+    text = "the thing of the land is that it with and hand tion ed ing the of and is was for on are as they at be this have from"
+    frame = spark.createDataFrame([(1, text, "en", "s", len(text), *extra.values())],
+                                  "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in extra))
+    spark.createDataFrame([(1, "nothing like it " * 8)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, frame, str(tmp_path))
+        assert out.columns == frame.columns, name
+        if name != "language":  # one text teaches no languages apart
+            assert [r[c] for r in out.collect() for c in extra] == list(extra.values()), name
