@@ -6,7 +6,7 @@ return the columns of documents, whatever these are, and handle nulls, empty
 texts, repeated rows and empty tables as their operators say:
 
 * ``language``: documents without letters, or whose predicted language scores
-  under 0.5, go.
+  under 0.4, go.
 * ``near_duplicates``: one document of each class stays.
 * ``decontaminate``: documents that contain an item of ``benchmark`` go.
 * ``personal_data``: spans are replaced by their kind in angle brackets;
@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.llm import decontaminate, langid, near_dedup, packing, pii
+from riskframe.llm.common import free_name
 from riskframe.session import shared_path
 
 
@@ -36,13 +37,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate.matches(docs, items, into="__leaks").where(F.size("__leaks") == 0).drop("__leaks")
+    leaks = free_name(docs, "__leaks")
+    return decontaminate.matches(docs, items, into=leaks).where(F.size(leaks) == 0).drop(leaks)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    masked = pii.mask(docs.withColumn("__length", F.length("text")))
+    length = free_name(docs, "__length")
+    masked = pii.mask(docs.withColumn(length, F.length("text")))
     if "n_chars" in docs.columns:
-        changed = F.length("text") != F.col("__length")
+        changed = F.length("text") != F.col(length)
         masked = masked.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return masked.select(docs.columns)
 
