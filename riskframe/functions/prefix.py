@@ -2,87 +2,47 @@
 
 ``Window.orderBy(...)`` with no partition moves every row into one task. Here
 the frame is range-partitioned on the order (balanced partitions even when one
-group holds a third of the rows), each partition's totals are aggregated
-(#partitions x #groups numbers), and every task adds its offset to a local
-cumulative sum computed over Arrow batches. The range-partitioned frame is
-checkpointed first so both passes see identical partition contents, also
-after a lost executor.
+group holds a third of the rows) and written once, so that every later step sees
+the same partition contents, also after a lost executor. Each partition's totals
+become, by a window over these few rows (#partitions + #groups), the offset of the
+next ones; within a partition a built-in window takes the running sum. No row
+leaves the JVM and nothing passes through the driver.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+from functools import reduce
 
-import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.session import cut_lineage
+from riskframe.session import written
 
 
 def prefix_sums(df: DataFrame, order_by: list[Column], sum_cols: list[str],
                 group_cols: list[str] | None = None, inclusive: bool = True,
                 prefix: str = "cum_", partitions: int | None = None) -> DataFrame:
     """Add ``cum_<c>`` = sum of ``c`` over rows ordered before (and, when
-    ``inclusive``, including) each row, restarted per ``group_cols``. The order
-    must be total (ties broken by a unique column) for ranks to be exact."""
-    spark = df.sparkSession
-    group_cols = list(group_cols or [])
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(g) for g in group_cols] + list(order_by)
-    ranged = cut_lineage(df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
-                         .withColumn("_pid", F.spark_partition_id()))
-    totals = (ranged.groupBy("_pid", *group_cols)
-              .agg(*[F.sum(c).alias(c) for c in sum_cols]).collect())
-    # offsets: totals of the same group in earlier partitions (bounded table)
-    by_group: dict = defaultdict(list)
-    for row in totals:
-        by_group[tuple(row[g] for g in group_cols)].append(row)
-    offsets: dict = {}
-    for gkey, rows in by_group.items():
-        run = [0] * len(sum_cols)
-        for row in sorted(rows, key=lambda r: r["_pid"]):
-            offsets[(row["_pid"], *gkey)] = list(run)
-            run = [a + (row[c] or 0) for a, c in zip(run, sum_cols)]
-
-    fields = list(df.schema.fields)
-    out_types = {}
-    for c in sum_cols:
-        dt = df.schema[c].dataType
-        out_types[c] = T.DoubleType() if isinstance(dt, (T.DoubleType, T.FloatType,
-                                                         T.DecimalType)) else T.LongType()
-    schema = T.StructType(fields + [T.StructField(f"{prefix}{c}", out_types[c], True)
-                                    for c in sum_cols])
-    names = [f.name for f in fields]
-
-    zeros = [0] * len(sum_cols)
-    is_float = [isinstance(out_types[c], T.DoubleType) for c in sum_cols]
-
-    def run_partition(batches):
-        carry: dict = {}
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pid = int(pdf["_pid"].iloc[0])
-            keys = (list(zip(*[pdf[g].tolist() for g in group_cols])) if group_cols
-                    else [()] * len(pdf))
-            masks = {k: np.fromiter((x == k for x in keys), bool, len(keys))
-                     for k in dict.fromkeys(keys)}
-            out = pdf[names].copy()
-            for j, c in enumerate(sum_cols):
-                vals = pdf[c].fillna(0).to_numpy(np.float64 if is_float[j] else np.int64)
-                cum = np.zeros(len(pdf), vals.dtype)
-                for k, m in masks.items():
-                    local = np.cumsum(vals[m])
-                    base = offsets.get((pid, *k), zeros)[j] + carry.get((k, j), 0)
-                    cum[m] = base + local - (0 if inclusive else vals[m])
-                    # running totals continue into the partition's next batch
-                    carry[(k, j)] = carry.get((k, j), 0) + local[-1]
-                out[f"{prefix}{c}"] = cum
-            yield out
-
-    return ranged.mapInPandas(run_partition, schema)
+    ``inclusive``, including) each row, restarted per ``group_cols`` (null is a
+    group). The order must be total (ties broken by a unique column) for ranks to
+    be exact. Null values add nothing; fractions and decimals are summed as doubles."""
+    groups = list(group_cols or [])
+    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kinds = {c: "double" if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType, T.DecimalType)) else "long"
+             for c in sum_cols}
+    value = {c: F.coalesce(F.col(c).cast(kinds[c]), F.lit(0).cast(kinds[c])) for c in sum_cols}
+    ranged = written(df.repartitionByRange(parts, *groups, *order_by).withColumn("_pid", F.spark_partition_id()), "ranges")
+    before = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ranged.groupBy("_pid", *groups).agg(*[F.sum(value[c]).alias(f"_t_{c}") for c in sum_cols])
+               .select(F.col("_pid").alias("_p"), *[F.col(g).alias(f"_g_{g}") for g in groups],
+                       *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0).cast(kinds[c])).alias(f"_o_{c}")
+                         for c in sum_cols]))
+    inside = Window.partitionBy("_pid", *groups).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
+    runs = ranged.withColumns({f"_r_{c}": F.sum(value[c]).over(inside) for c in sum_cols})
+    same = reduce(lambda a, b: a & b, [F.col("_pid") == F.col("_p"), *[F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups]])
+    total = {c: F.col(f"_o_{c}") + F.col(f"_r_{c}") - (F.lit(0).cast(kinds[c]) if inclusive else value[c]) for c in sum_cols}
+    return runs.join(offsets, same).select(*df.columns, *[total[c].alias(f"{prefix}{c}") for c in sum_cols])
 
 
 def rank_within(df: DataFrame, order_by: list[Column], group_cols: list[str] | None = None,

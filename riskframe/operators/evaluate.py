@@ -124,6 +124,38 @@ def pr_curve(scored: DataFrame, label: str = "label", score: str = "score") -> D
     return cum.select("threshold", precision.alias("precision"), recall.alias("recall"))
 
 
+def model_curves(scored: DataFrame, model: str = "model", label: str = "label", score: str = "score") -> DataFrame:
+    """ROC and precision-recall points of all models of a long frame ``(model, label,
+    score)`` at once: (model, threshold, pos, neg, cum_pos, cum_neg, fpr, tpr, precision,
+    recall), one row per model and distinct score. The running counts of all models come
+    from one range partitioning, so neither a model nor a score is a hot key; rates of a
+    class that a model lacks are null."""
+    per = scored.groupBy(model, F.col(score).alias("threshold")).agg(
+        F.count_if(F.col(label) == 1).cast("long").alias("pos"), F.count_if(F.col(label) == 0).cast("long").alias("neg"))
+    cum = prefix_sums(per, [F.col("threshold").desc()], ["pos", "neg"], [model])
+    totals = scored.groupBy(F.col(model).alias("_m")).agg(  # one row per model
+        F.count_if(F.col(label) == 1).alias("_P"), F.count_if(F.col(label) == 0).alias("_N"))
+    rate = lambda a, b: F.try_divide(a.cast("double"), b.cast("double"))
+    tpr = rate(F.col("cum_pos"), F.col("_P"))
+    return cum.join(totals, F.col(model).eqNullSafe(F.col("_m"))).select(
+        model, "threshold", "pos", "neg", "cum_pos", "cum_neg", rate(F.col("cum_neg"), F.col("_N")).alias("fpr"), tpr.alias("tpr"),
+        rate(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")).alias("precision"), tpr.alias("recall"))
+
+
+def curve_summary(curves: DataFrame, target: float = 0.70, fallback: float = 0.50, model: str = "model") -> DataFrame:
+    """Per model, in one aggregation over its curve: the area under ROC, average precision,
+    the threshold of the best F1 (the largest on ties) and the largest threshold that
+    reaches the target recall, else the fallback."""
+    f1 = F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")), F.lit(0.0))
+    area = F.sum(F.col("neg") * (F.col("cum_pos") - F.col("pos") / 2.0))
+    best = F.max(F.struct(f1.alias("f1"), "threshold"))
+    return curves.groupBy(model).agg(
+        F.try_divide(area, F.max("cum_pos").cast("double") * F.max("cum_neg")).alias("auc"),
+        F.try_divide(F.sum(F.col("pos") * F.col("precision")), F.max("cum_pos").cast("double")).alias("average_precision"),
+        best["threshold"].alias("best_threshold"), best["f1"].alias("best_f1"),
+        F.coalesce(F.max(F.when(F.col("recall") >= F.lit(target), F.col("threshold"))), F.lit(float(fallback))).alias("target_threshold"))
+
+
 def eval_at_threshold(scored: DataFrame, thr: float, label: str = "label",
                       score: str = "score") -> DataFrame:
     m = binary_metrics(at_threshold(scored, thr, score, "_pred"), label, "_pred")

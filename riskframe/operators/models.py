@@ -207,7 +207,8 @@ class GaussianNbModel(Model):
         return expr
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        j0, j1 = self.joint_log_likelihood(0), self.joint_log_likelihood(1)
+        # a class that no training row had is impossible
+        j0, j1 = (self.joint_log_likelihood(c) if c in self.class_params else F.lit(float("-inf")) for c in (0, 1))
         out = df.withColumn("_j0", j0).withColumn("_j1", j1)
         score = F.lit(1.0) / (F.lit(1.0) + F.exp(F.col("_j0") - F.col("_j1")))
         return (out.withColumn("score", score)

@@ -426,7 +426,7 @@ ORACLES["write_results"] = ORACLES["binary_metrics"]
 
 def _smote_sql(seed: int = 17, k: int = 5) -> str:
     cols = SMOTE_COLUMNS
-    x = ", ".join(f"CAST(coalesce({c}, 0) AS DOUBLE)" if c == "qty" else f"CAST({c} AS DOUBLE)" for c in cols)
+    x = ", ".join(f"CAST(coalesce({c}, 0) AS DOUBLE)" if c in ("qty", "price", "disc") else f"CAST({c} AS DOUBLE)" for c in cols)
     u = lambda s: uniform_hash_sql("tag", s)
     points = ", ".join(f"{S(f'a[{i}] + u * (b[{i}] - a[{i}])')} AS {c}" for i, c in enumerate(cols, 1))
     return f"""
@@ -473,7 +473,7 @@ def _folds_sql(key: str, label: str, table: str) -> str:
 
 
 def _smote_folds_sql(seed: int = 17, k: int = 5) -> str:
-    x = ", ".join(f"CAST(coalesce({c}, 0) AS DOUBLE)" if c == "qty" else f"CAST({c} AS DOUBLE)" for c in SMOTE_COLUMNS)
+    x = ", ".join(f"CAST(coalesce({c}, 0) AS DOUBLE)" if c in ("qty", "price", "disc") else f"CAST({c} AS DOUBLE)" for c in SMOTE_COLUMNS)
     points = ", ".join(f"{S(f'a[{i}] + u * (b[{i}] - a[{i}])')} AS {c}" for i, c in enumerate(SMOTE_COLUMNS, 1))
     draw = {s: uniform_hash_sql("tag", s) for s in (seed, seed + 1)}
     return f"""
@@ -516,3 +516,26 @@ c AS (SELECT metric, kind, k, fold, truth, count(*) AS n, sum(hit) AS hits FROM
 SELECT CAST(k AS INTEGER) AS k, kind AS weights, metric, fold, CAST(sum(n) AS BIGINT) AS n, {S('sum(hits) / sum(n)')} AS accuracy,
        {S('avg(hits / n)')} AS recall
 FROM c GROUP BY metric, kind, k, fold""", policies=False)
+
+# --- curves of many models ------------------------------------------------------------
+
+from riskframe.plans.queries import N_MODELS  # noqa: E402
+
+_CURVES = f"""
+, s AS ({" UNION ALL ".join(
+    f"SELECT 'm{i}' AS model, is_claim AS label, (floor({uniform_hash_sql('policy_id', 20 + i)} * {40 * (i + 1)}) + is_claim * {i * 5}) / {40 * (i + 1) + 40} AS score FROM policies"
+    for i in range(N_MODELS))}),
+per AS (SELECT model, score AS threshold, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg FROM s GROUP BY ALL),
+cum AS (SELECT *, CAST(sum(pos) OVER w AS BIGINT) AS cum_pos, CAST(sum(neg) OVER w AS BIGINT) AS cum_neg,
+               sum(pos) OVER (PARTITION BY model) AS p, sum(neg) OVER (PARTITION BY model) AS n
+        FROM per WINDOW w AS (PARTITION BY model ORDER BY threshold DESC)),
+c AS (SELECT *, cum_neg / n AS fpr, cum_pos / p AS tpr, cum_pos / (cum_pos + cum_neg) AS precision, cum_pos / p AS recall FROM cum),
+f AS (SELECT *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0.0) AS f1 FROM c)
+"""
+oracle("model_curves", _CURVES + f"""SELECT model, {S('threshold')} AS threshold, pos, neg, cum_pos, cum_neg, {S('fpr')} AS fpr, {S('tpr')} AS tpr,
+  {S('precision')} AS precision, {S('recall')} AS recall FROM c""")
+oracle("curve_summary", _CURVES + f"""
+, g AS (SELECT model, sum(neg * (cum_pos - pos / 2.0)) / (max(p) * max(n)) AS auc, sum(pos * precision) / max(p) AS ap,
+               arg_max(threshold, {{'f': f1, 't': threshold}}) AS bt, max(f1) AS bf,
+               coalesce(max(threshold) FILTER (WHERE recall >= 0.7), 0.5) AS tt FROM f GROUP BY model)
+SELECT model, {S('auc')} AS auc, {S('ap')} AS average_precision, {S('bt')} AS best_threshold, {S('bf')} AS best_f1, {S('tt')} AS target_threshold FROM g""")

@@ -160,8 +160,8 @@ from riskframe.plans.common import scored_fixture  # noqa: E402
 
 OUTLIER_COLUMNS = ["age_of_car", "age_of_policyholder", "policy_tenure"]
 SCALE_COLUMNS = NUMERIC_COLUMNS
-POLY_COLUMNS = ["policy_tenure", "age_of_car", "n_lines"]
-INTERACTION_COLUMNS = ["policy_tenure", "age_of_policyholder", "age_of_car", "n_lines"]
+POLY_COLUMNS = NUMERIC_COLUMNS
+INTERACTION_COLUMNS = NUMERIC_COLUMNS
 ONE_HOT_COLUMNS = ["area_cluster", "segment", "is_esc"]
 ANOVA_COLUMNS = NUMERIC_COLUMNS
 
@@ -337,6 +337,29 @@ def q_model_comparison(spark, sf):
     return rounded(EV.model_comparison(rows))
 
 
+N_MODELS = 9
+
+
+def _nine_scores(spark, sf):
+    """Nine deterministic scores per row as a long frame (model, label, score)."""
+    from riskframe.functions.hashing import uniform_hash
+    p = policies(spark, sf)
+    score = [(F.floor(uniform_hash(KEY, 20 + i) * 40 * (i + 1)) + F.col(LABEL) * i * 5) / (40 * (i + 1) + 40) for i in range(N_MODELS)]
+    models = F.array(*[F.struct(F.lit(f"m{i}").alias("model"), s.alias("score")) for i, s in enumerate(score)])
+    return p.select(F.col(LABEL).alias("label"), F.explode(models).alias("m")).select("m.model", "label", "m.score")
+
+
+@query("model_curves")
+def q_model_curves(spark, sf):
+    """ROC and precision-recall points of nine models from one running count."""
+    return rounded(EV.model_curves(_nine_scores(spark, sf)))
+
+
+@query("curve_summary")
+def q_curve_summary(spark, sf):
+    return rounded(EV.curve_summary(EV.model_curves(_nine_scores(spark, sf))))
+
+
 @query("concat_results")
 def q_concat_results(spark, sf):
     s = scored_fixture(spark, sf)
@@ -458,7 +481,7 @@ def q_gaussian_nb_spark(spark, sf):
     return CL.evaluate_estimator(spark, "gaussian_nb_spark", MO.SparkGaussianNb(), tr, te)
 
 
-NB_COLUMNS = ["policy_tenure", "age_of_policyholder", "age_of_car", "n_lines"]
+NB_COLUMNS = NUMERIC_COLUMNS
 
 
 @query("gaussian_nb")
@@ -543,7 +566,7 @@ def q_knn_classify(spark, sf):
     return CL.metrics_row(spark, "knn_classify", out, time.perf_counter() - t0)
 
 
-SMOTE_COLUMNS = ["policy_tenure", "age_of_policyholder", "age_of_car", "n_lines", "qty"]
+SMOTE_COLUMNS = NUMERIC_COLUMNS
 
 
 @query("smote")
