@@ -171,12 +171,15 @@ def Interactions(cols: list[str]) -> PolyFeatures:
 def anova_f_scores(df: DataFrame, features: list[str], label: str) -> DataFrame:
     """One-way ANOVA F of each feature against the class label, from a single
     ``groupBy(label)`` of count, mean and population variance per feature
-    (numerically stable moments, no sum of squares)."""
-    long = df.select(F.col(label).alias("_y"), *[F.col(c).cast("double").alias(c)
-                                                 for c in features]).unpivot(
-        ["_y"], features, "feature", "x").where(F.col("x").isNotNull())
-    per = long.groupBy("feature", "_y").agg(F.count("x").alias("n"), F.avg("x").alias("m"),
-                                            F.var_pop("x").alias("v"))
+    (numerically stable moments, no sum of squares): one shuffle of #classes rows
+    per task, whatever the number of features."""
+    x = {c: F.col(c).cast("double") for c in features}
+    wide = df.groupBy(F.col(label).alias("_y")).agg(*[
+        F.struct(F.lit(c).alias("feature"), F.count(x[c]).alias("n"), F.avg(x[c]).alias("m"), F.var_pop(x[c]).alias("v")).alias(f"_{i}")
+        for i, c in enumerate(features)])
+    # from here on one row per class and feature
+    per = (wide.select("_y", F.explode(F.array(*[f"_{i}" for i in range(len(features))])).alias("s"))
+           .select("_y", "s.*").where(F.col("n") > 0))
     tot = per.groupBy("feature").agg(
         F.sum("n").alias("n_all"), F.count(F.lit(1)).alias("k_all"),
         (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("gm"))

@@ -539,3 +539,16 @@ oracle("curve_summary", _CURVES + f"""
                arg_max(threshold, {{'f': f1, 't': threshold}}) AS bt, max(f1) AS bf,
                coalesce(max(threshold) FILTER (WHERE recall >= 0.7), 0.5) AS tt FROM f GROUP BY model)
 SELECT model, {S('auc')} AS auc, {S('ap')} AS average_precision, {S('bt')} AS best_threshold, {S('bf')} AS best_f1, {S('tt')} AS target_threshold FROM g""")
+
+# --- strict reading, and what was scored out of fold ---------------------------------------
+
+oracle("read_strict", """
+, p AS (SELECT n_lines, CAST(regexp_extract(policy_id, '(\\d+)', 1) AS BIGINT) % 7 = 0 AS bad FROM policies)
+SELECT 'rows' AS part, count(*) FILTER (WHERE NOT bad) AS n, CAST(sum(n_lines) FILTER (WHERE NOT bad) AS BIGINT) AS n_lines FROM p
+UNION ALL SELECT 'rejected', count(*) FILTER (WHERE bad), count(*) FILTER (WHERE bad) FROM p""")
+oracle("oof_scores", f"""
+, sp AS (SELECT policy_id, is_claim, row_number() OVER (ORDER BY {_H}, policy_id) - 1 < ceil(0.3 * count(*) OVER ()) AS is_test FROM policies),
+f AS (SELECT *, CAST((row_number() OVER (PARTITION BY is_claim ORDER BY {_H}, policy_id) - 1) * 3
+              // count(*) OVER (PARTITION BY is_claim) AS INTEGER) AS fold FROM sp WHERE NOT is_test)
+SELECT model, fold, count(*) AS n, CAST(sum(is_claim) AS BIGINT) AS n_positive, count(*) AS n_keys, CAST(0 AS BIGINT) AS n_missing
+FROM f, (VALUES ('logistic'), ('tree'), ('nb')) AS m(model) GROUP BY model, fold""")

@@ -370,7 +370,7 @@ def q_concat_results(spark, sf):
 
 # --- models, resampling, tuning, ensembles, streaming ------------------------------
 
-from riskframe.operators import certify as CE, ensemble as EN, knn as KN, models as MO, tuning as TU  # noqa: E402
+from riskframe.operators import certify as CE, ensemble as EN, knn as KN, models as MO, oof as OO, tuning as TU  # noqa: E402
 from riskframe.plans import claims as CL  # noqa: E402
 
 
@@ -761,3 +761,45 @@ def q_write_results(spark, sf):
     path = ensure_checkpoint_dir(spark).rstrip("/") + f"/results_{uuid.uuid4().hex}"
     write_results(rounded(EV.binary_metrics(EV.at_threshold(scored_fixture(spark, sf), 0.5))), path)
     return spark.read.parquet(path)
+
+
+@query("read_strict")
+def q_read_strict(spark, sf):
+    """The policies as CSV, every seventh with a broken line, read under a schema."""
+    from riskframe.session import shared_path
+    from riskframe.sources.tables import read_strict
+    path = shared_path(spark, "csv")
+    n = F.regexp_extract(KEY, r"(\d+)", 1).cast("long")
+    p = policies(spark, sf).select(KEY, F.when(n % 7 == 0, F.lit("many")).otherwise(F.col("n_lines").cast("string")).alias("n_lines"), "segment")
+    p.write.option("header", True).csv(path)
+    rows, rejected = read_strict(spark, path, f"{KEY} string, n_lines int, segment string")
+    good = rows.agg(F.lit("rows").alias("part"), F.count("*").alias("n"), F.sum("n_lines").alias("n_lines"))
+    return good.unionByName(rejected.agg(F.lit("rejected").alias("part"), F.count("*").alias("n"),
+                                         F.count_if(F.col("line").contains("many")).alias("n_lines")))
+
+
+def _compared():
+    return {"logistic": MO.Logistic(C=0.1, weight_col="w"), "tree": MO.Tree("entropy", 5, 2, weight_col="w"), "nb": MO.SparkGaussianNb()}
+
+
+def _folded(tr, folds):
+    """Folds with class weights of each row's class."""
+    return _balanced(CL.with_folds(tr, folds))
+
+
+@query("oof_scores")
+def q_oof_scores(spark, sf):
+    """Rows, positives and distinct keys that each (model, fold) scored out of fold."""
+    tr, _, _ = _prepared(spark, sf)
+    oof = OO.out_of_fold(_compared(), _folded(tr, 3), KEY, [0, 1, 2])
+    return oof.groupBy("model", "fold").agg(F.count("*").alias("n"), F.sum("label").alias("n_positive"),
+                                            F.count_distinct(KEY).alias("n_keys"), F.count_if(F.col("score").isNull()).alias("n_missing"))
+
+
+@query("compare_at_validated_thresholds")
+def q_compare_validated(spark, sf):
+    """Real models on the test rows, each at the threshold of the best F1 on its
+    out-of-fold scores."""
+    tr, te, _ = _prepared(spark, sf)
+    oof = OO.out_of_fold(_compared(), _folded(tr, 3), KEY, [0, 1, 2])
+    return rounded(OO.report(_compared(), OO.chosen_thresholds(oof), _balanced(tr), te, KEY))

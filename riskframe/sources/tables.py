@@ -13,7 +13,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 KEY = "policy_id"
 LABEL = "is_claim"
@@ -39,6 +39,21 @@ def read_table(spark: SparkSession, path: str, schema: StructType | str | None =
     return reader.csv(path)
 
 
+def read_strict(spark: SparkSession, path: str, schema: StructType | str, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """``(rows, rejected)`` of a CSV under a fixed schema: lines that do not fit it (a
+    value of another type, too few or too many fields) are not nulls among the rows but
+    whole lines in ``rejected (line)``. The parsed lines are written once, so both parts
+    come from one reading."""
+    from riskframe.session import written
+    wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    bad = "_line"
+    while bad.lower() in {f.name.lower() for f in wanted.fields}:
+        bad += "_"
+    parsed = written(spark.read.schema(StructType([*wanted.fields, StructField(bad, StringType())]))
+                     .option("header", header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", bad).csv(path), "csv")
+    return parsed.where(F.col(bad).isNull()).drop(bad), parsed.where(F.col(bad).isNotNull()).select(F.col(bad).alias("line"))
+
+
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
