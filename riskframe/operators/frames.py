@@ -6,7 +6,7 @@ are Spark actions or lazy projections.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,6 +73,12 @@ def bool_to_int(df: DataFrame) -> DataFrame:
 def to_long(df: DataFrame, cols: list[str], value_type: str = "double",
             name: str = "column", value: str = "value") -> DataFrame:
     """Unpivot ``cols`` to ``(column, value)`` so one ``groupBy(column)``
-    computes a statistic for every column in one pass."""
-    cast = df.select(*[F.col(c).cast(value_type).alias(c) for c in cols])
+    computes a statistic for every column in one pass. NaN is a missing value."""
+    def known(c: str) -> Column:
+        x = F.col(c)
+        if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
+            x = F.when(~F.isnan(x), x)
+        return x.cast(value_type).alias(c)
+
+    cast = df.select(*[known(c) for c in cols])
     return cast.unpivot([], cols, name, value)

@@ -178,16 +178,17 @@ def correlation_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFram
 
 def histogram(df: DataFrame, cols: list[str] | None = None, bins: int = 30) -> DataFrame:
     """Equal-width bins over [min, max] per column, last bin closed; empty
-    bins included. A constant column spans [v - 0.5, v + 0.5]."""
+    bins included. A constant column spans [v - 0.5, v + 0.5]; a column
+    without values keeps its bins, empty and without bounds."""
     cols = cols or dtype_columns(df, "number")
-    long = to_long(df, cols).where(F.col("value").isNotNull())
+    long = to_long(df, cols)
     rng = long.groupBy("column").agg(F.min("value").alias("mn"), F.max("value").alias("mx"))
     rng = rng.select("column",
                      F.when(F.col("mx") == F.col("mn"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo"),
                      F.when(F.col("mx") == F.col("mn"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi"))
     width = (F.col("hi") - F.col("lo")) / bins
     b = F.least(F.floor((F.col("value") - F.col("lo")) / width), F.lit(bins - 1)).cast("int")
-    counts = (long.join(F.broadcast(rng), "column").withColumn("bin", b)
+    counts = (long.where(F.col("value").isNotNull()).join(F.broadcast(rng), "column").withColumn("bin", b)
               .groupBy("column", "bin").agg(F.count(F.lit(1)).alias("count")))
     grid = rng.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     return (grid.join(counts, ["column", "bin"], "left")

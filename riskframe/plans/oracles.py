@@ -542,6 +542,11 @@ SELECT model, {S('auc')} AS auc, {S('ap')} AS average_precision, {S('bt')} AS be
 
 # --- strict reading, and what was scored out of fold ---------------------------------------
 
+oracle("attach_bounds", f"""
+, b AS (SELECT area_cluster, avg(price) AS m, max(price) AS x FROM policies GROUP BY 1)
+SELECT area_cluster, policy_id, {S('price')} AS price, {S('m')} AS mean_price, {S('x')} AS max_price
+FROM policies LEFT JOIN b USING (area_cluster)""")
+oracle("if_column", "SELECT policy_id, is_claim, segment, n_lines, CAST(n_lines >= 4 AS INTEGER) AS many_lines FROM policies")
 oracle("read_strict", """
 , p AS (SELECT n_lines, CAST(regexp_extract(policy_id, '(\\d+)', 1) AS BIGINT) % 7 = 0 AS bad FROM policies)
 SELECT 'rows' AS part, count(*) FILTER (WHERE NOT bad) AS n, CAST(sum(n_lines) FILTER (WHERE NOT bad) AS BIGINT) AS n_lines FROM p

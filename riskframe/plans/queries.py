@@ -360,6 +360,22 @@ def q_curve_summary(spark, sf):
     return rounded(EV.curve_summary(EV.model_curves(_nine_scores(spark, sf))))
 
 
+@query("attach_bounds")
+def q_attach_bounds(spark, sf):
+    """Each row with the mean and largest price of its area."""
+    p = policies(spark, sf).select(KEY, "area_cluster", "price")
+    bounds = p.groupBy("area_cluster").agg(F.avg("price").alias("mean_price"), F.max("price").alias("max_price"))
+    return rounded(compare.attach_bounds(p, bounds, "area_cluster"))
+
+
+@query("if_column")
+def q_if_column(spark, sf):
+    """Steps that run only where their column exists: one does, one does not."""
+    p = policies(spark, sf).select(KEY, LABEL, "segment", "n_lines")
+    p = frames.if_column(p, "n_lines", lambda d: d.withColumn("many_lines", (F.col("n_lines") >= 4).cast("int")))
+    return frames.if_column(p, "no_such_column", lambda d: d.drop("segment"))
+
+
 @query("concat_results")
 def q_concat_results(spark, sf):
     s = scored_fixture(spark, sf)
@@ -512,15 +528,27 @@ def q_svm_rbf(spark, sf):
     return CL.evaluate_estimator(spark, "svm_rbf", MO.RbfSvm(C=1.0, gamma="scale"), tr, te)
 
 
-@query("svm_probability")
-def q_svm_probability(spark, sf):
+def _svm_probability(spark, sf, kind, machine):
+    """Probabilities of a machine by Platt scaling of its out-of-fold margins."""
     tr, te, _ = _prepared(spark, sf)
-    f = CL.with_folds(tr, 3)
-    t0 = time.perf_counter()
-    model = EN.Calibrate(MO.LinearSvm(C=1.0), "sigmoid", folds=3).fit(f)
-    fit_s = time.perf_counter() - t0
+    model, fit_s = EV.timed_fit(EN.Calibrate(machine, "sigmoid", folds=3), CL.with_folds(tr, 3))
     out = model.transform(te).select(KEY, F.col("label").cast("int").alias("label"), "score", "pred")
-    return CL.metrics_row(spark, "svm_probability", out, fit_s)
+    return CL.metrics_row(spark, kind, out, fit_s)
+
+
+@query("svm_probability")
+def q_svm_probability(spark, sf):
+    return _svm_probability(spark, sf, "svm_probability", MO.LinearSvm(C=1.0))
+
+
+@query("svm_probability_poly")
+def q_svm_probability_poly(spark, sf):
+    return _svm_probability(spark, sf, "svm_probability_poly", MO.PolySvm(C=1.0, degree=3))
+
+
+@query("svm_probability_rbf")
+def q_svm_probability_rbf(spark, sf):
+    return _svm_probability(spark, sf, "svm_probability_rbf", MO.RbfSvm(C=1.0, gamma="scale"))
 
 
 @query("calibrate_isotonic")
@@ -532,11 +560,19 @@ def q_calibrate_isotonic(spark, sf):
     return CL.metrics_row(spark, "calibrate_isotonic", out, fit_s)
 
 
+def _smote_rows(df):
+    """The training rows and their synthetic ones, as assembled features."""
+    names = [f"f{i}" for i in range(len(df.first()["features"]))]
+    wide = CL.as_vectors(df).select(KEY, "label", *[F.col("vec")[i].alias(n) for i, n in enumerate(names)])
+    return FE.assemble(SA.smote(wide, KEY, "label", names, 5, 1.0), names)
+
+
 @query("mlp")
 def q_mlp(spark, sf):
+    """The network, trained on the SMOTE set."""
     tr, te, _ = _prepared(spark, sf)
     d = len(tr.first()["features"])
-    return CL.evaluate_estimator(spark, "mlp", MO.Mlp(d, (64, 32), 200), tr, te)
+    return CL.evaluate_estimator(spark, "mlp", SA.ResampleThenFit(_smote_rows, MO.Mlp(d, (64, 32), 200)), tr, te)
 
 
 @query("gbt_xgb_like")
@@ -579,16 +615,10 @@ def q_smote(spark, sf):
 
 @query("resample_in_fold")
 def q_resample_in_fold(spark, sf):
-    """Logistic regression with SMOTE applied to each training fold only."""
+    """Logistic regression with SMOTE applied to the training split only; see
+    ``smote_in_folds`` for the training sets of a cross-validation."""
     tr, te, _ = _prepared(spark, sf)
-    d = len(tr.first()["features"])
-    names = [f"f{i}" for i in range(d)]
-
-    def resample(df):
-        wide = CL.as_vectors(df).select(KEY, "label", *[F.col("vec")[i].alias(n) for i, n in enumerate(names)])
-        return FE.assemble(SA.smote(wide, KEY, "label", names, 5, 1.0), names)
-    est = SA.ResampleThenFit(resample, MO.Logistic(C=1.0))
-    return CL.evaluate_estimator(spark, "logistic_smote", est, tr, te)
+    return CL.evaluate_estimator(spark, "logistic_smote", SA.ResampleThenFit(_smote_rows, MO.Logistic(C=1.0)), tr, te)
 
 
 @query("smote_in_folds")
@@ -610,6 +640,16 @@ def q_grid_search_smote(spark, sf):
     return results
 
 
+@query("grid_search_tree")
+def q_grid_search_tree(spark, sf):
+    """Balanced decision trees over impurity, depth and smallest split, 5 folds."""
+    tr, _, _ = _prepared(spark, sf)
+    grid = {"impurity": ["gini", "entropy"], "depth": [5, 10, 20], "min_split": [2, 10]}
+    results, _, _ = TU.grid_search(lambda impurity, depth, min_split: MO.Tree(impurity, depth, min_split, weight_col="w"), grid,
+                                   _folded(tr, 5), KEY, refit_best=False)
+    return results
+
+
 KNN_GRID = ([3, 5, 7, 11], ["uniform", "distance"], ["euclidean", "manhattan"])
 
 

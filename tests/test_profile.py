@@ -87,3 +87,12 @@ def test_correlation_pairwise_complete(spark):
     r = profile.correlation_matrix(df, ["a", "b"]).first()
     a, b = np.array([1.0, 2.0, 4.0]), np.array([2.0, 4.1, 8.0])
     assert r["corr"] == pytest.approx(float(np.corrcoef(a, b)[0, 1]))
+
+
+def test_nan_is_missing_and_null_columns_keep_their_bins(spark):
+    df = spark.createDataFrame([(1.0, None), (2.0, None), (float("nan"), None), (3.0, None)], "x double, none double")
+    r = {r["column"]: r for r in profile.describe(df, ["x"]).collect()}["x"]
+    assert (r["count"], r["mean"], r["p50"], r["max"]) == (3, 2.0, 2.0, 3.0)
+    bins = profile.histogram(df, ["x", "none"], bins=4).collect()
+    assert sorted((b["column"], b["count"]) for b in bins) == [("none", 0)] * 4 + [("x", 0), ("x", 1), ("x", 1), ("x", 1)]
+    assert all(b["lower"] is None for b in bins if b["column"] == "none")
