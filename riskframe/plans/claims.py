@@ -3,7 +3,7 @@ training rows only -> train / tune / combine models -> metrics.
 
 Fixes the reference's defects: every statistic is fitted on the training split
 (no leakage), each step is a fitted model applicable to any frame, thresholds
-are chosen on validation folds.
+are chosen on out-of-fold scores (``operators.oof``).
 """
 
 from __future__ import annotations
