@@ -16,12 +16,18 @@ from pyspark.sql import functions as F
 
 
 def _base_score(model, df: DataFrame, i: int) -> DataFrame:
-    """Apply one fitted model, keeping its score/pred as ``s{i}``/``p{i}``."""
+    """Apply one fitted model, keeping its score/pred as ``s{i}``/``p{i}``: the
+    probability of class 1, else the margin, else its own ``score``."""
     out = model.transform(df)
-    score = (vector_to_array(F.col("probability"))[1] if "probability" in out.columns
-             else vector_to_array(F.col("rawPrediction"))[1])
-    out = out.withColumn(f"s{i}", score).withColumn(f"p{i}", F.col("prediction").cast("int"))
-    return out.drop(*[c for c in ("probability", "rawPrediction", "prediction") if c in out.columns])
+    if "probability" in out.columns:
+        score = vector_to_array(F.col("probability"))[1]
+    elif "rawPrediction" in out.columns:
+        score = vector_to_array(F.col("rawPrediction"))[1]
+    else:
+        score = F.col("score")
+    pred = F.col("prediction" if "prediction" in out.columns else "pred").cast("int")
+    out = out.withColumn(f"s{i}", score).withColumn(f"p{i}", pred)
+    return out.drop(*[c for c in ("probability", "rawPrediction", "prediction", "score", "pred") if c in out.columns])
 
 
 def combine_votes(df: DataFrame, n: int, mode: str = "hard") -> DataFrame:

@@ -207,3 +207,15 @@ class ResampleThenFit:
 
     def fit(self, df: DataFrame):
         return self.estimator.fit(self.resample(df))
+
+
+class WeighThenFit:
+    """Estimator whose ``fit`` gives every training row the balanced weight of its class,
+    from the training rows alone, then fits the wrapped estimator."""
+
+    def __init__(self, estimator, label: str = "label", weight_col: str = "w"):
+        self.estimator, self.label, self.weight_col = estimator, label, weight_col
+
+    def fit(self, df: DataFrame):
+        from riskframe.operators.profile import with_class_weights
+        return self.estimator.fit(with_class_weights(df.drop(self.weight_col), self.label, self.weight_col))

@@ -645,8 +645,8 @@ def q_grid_search_tree(spark, sf):
     """Balanced decision trees over impurity, depth and smallest split, 5 folds."""
     tr, _, _ = _prepared(spark, sf)
     grid = {"impurity": ["gini", "entropy"], "depth": [5, 10, 20], "min_split": [2, 10]}
-    results, _, _ = TU.grid_search(lambda impurity, depth, min_split: MO.Tree(impurity, depth, min_split, weight_col="w"), grid,
-                                   _folded(tr, 5), KEY, refit_best=False)
+    results, _, _ = TU.grid_search(lambda impurity, depth, min_split: SA.WeighThenFit(MO.Tree(impurity, depth, min_split, weight_col="w")), grid,
+                                   CL.with_folds(tr, 5), KEY, refit_best=False)
     return results
 
 
@@ -666,9 +666,9 @@ def q_grid_search(spark, sf):
     """Balanced logistic regression over C, 5 stratified folds, every metric per
     (params, fold)."""
     tr, _, _ = _prepared(spark, sf)
-    f = _balanced(CL.with_folds(tr, 5))
+    f = CL.with_folds(tr, 5)
     grid = {"C": [0.1, 1, 5], "solver": ["lbfgs"]}  # Spark's optimiser stands for both solvers
-    results, _, _ = TU.grid_search(lambda C, solver: MO.Logistic(C=C, weight_col="w"), grid, f, KEY,
+    results, _, _ = TU.grid_search(lambda C, solver: SA.WeighThenFit(MO.Logistic(C=C, weight_col="w")), grid, f, KEY,
                                    refit_best=False)
     return results
 
@@ -732,8 +732,8 @@ def q_stacking(spark, sf):
     f = _balanced(CL.with_folds(tr, 5))
     from pyspark.ml.classification import LogisticRegression
     meta = LogisticRegression(featuresCol="_meta", labelCol="label", weightCol="w")
-    est = EN.Stacking([MO.Logistic(C=0.1, weight_col="w"), MO.LinearSvm(C=1.0, weight_col="w"),
-                       MO.Tree("entropy", 5, 2, weight_col="w")], meta, folds=5)
+    est = EN.Stacking([SA.WeighThenFit(m) for m in (MO.Logistic(C=0.1, weight_col="w"), MO.LinearSvm(C=1.0, weight_col="w"),
+                                                    MO.Tree("entropy", 5, 2, weight_col="w"))], meta, folds=5)
     model, fit_s = EV.timed_fit(est, f)
     out = MO.scored(model, te, KEY)
     return CL.metrics_row(spark, "stacking_logistic", out, fit_s)
@@ -819,19 +819,15 @@ def q_read_strict(spark, sf):
 
 
 def _compared():
-    return {"logistic": MO.Logistic(C=0.1, weight_col="w"), "tree": MO.Tree("entropy", 5, 2, weight_col="w"), "nb": MO.SparkGaussianNb()}
-
-
-def _folded(tr, folds):
-    """Folds with class weights of each row's class."""
-    return _balanced(CL.with_folds(tr, folds))
+    return {"logistic": SA.WeighThenFit(MO.Logistic(C=0.1, weight_col="w")),
+            "tree": SA.WeighThenFit(MO.Tree("entropy", 5, 2, weight_col="w")), "nb": MO.SparkGaussianNb()}
 
 
 @query("oof_scores")
 def q_oof_scores(spark, sf):
     """Rows, positives and distinct keys that each (model, fold) scored out of fold."""
     tr, _, _ = _prepared(spark, sf)
-    oof = OO.out_of_fold(_compared(), _folded(tr, 3), KEY, [0, 1, 2])
+    oof = OO.out_of_fold(_compared(), CL.with_folds(tr, 3), KEY, [0, 1, 2])
     return oof.groupBy("model", "fold").agg(F.count("*").alias("n"), F.sum("label").alias("n_positive"),
                                             F.count_distinct(KEY).alias("n_keys"), F.count_if(F.col("score").isNull()).alias("n_missing"))
 
@@ -841,5 +837,5 @@ def q_compare_validated(spark, sf):
     """Real models on the test rows, each at the threshold of the best F1 on its
     out-of-fold scores."""
     tr, te, _ = _prepared(spark, sf)
-    oof = OO.out_of_fold(_compared(), _folded(tr, 3), KEY, [0, 1, 2])
-    return rounded(OO.report(_compared(), OO.chosen_thresholds(oof), _balanced(tr), te, KEY))
+    oof = OO.out_of_fold(_compared(), CL.with_folds(tr, 3), KEY, [0, 1, 2])
+    return rounded(OO.report(_compared(), OO.chosen_thresholds(oof), tr, te, KEY))

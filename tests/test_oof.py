@@ -65,3 +65,31 @@ def test_strict_reading_parts_bad_lines(spark, tmp_path):
     path.write_text("a,b\n")
     rows, rejected = read_strict(spark, str(path), "a int, b string")
     assert rows.count() == 0 and rejected.count() == 0
+
+
+class Weights:
+    def fit(self, df):
+        self.seen = {r["label"]: r["w"] for r in df.select("label", "w").distinct().collect()}
+        return self
+
+
+def test_weights_come_from_the_training_rows(spark):
+    from riskframe.operators.sampling import WeighThenFit
+    df = spark.createDataFrame([(i, float(i % 4 == 0), 99.0) for i in range(40)], "id long, label double, w double")
+    assert WeighThenFit(Weights()).fit(df).seen == {1.0: 2.0, 0.0: 40 / 60}
+    assert WeighThenFit(Weights()).fit(df.where("id < 4 or id % 4 = 0")).seen == {1.0: 13 / 20, 0.0: 13 / 6}
+
+
+def test_soft_voting_takes_members_with_a_score(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from riskframe.operators import ensemble as EN
+    df = spark.createDataFrame([(i, float(i % 10), i % 3 / 2, int(i % 10 > 5)) for i in range(60)], "id long, a double, b double, label int")
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+    members = [MO.GaussianNb(["a", "b"], "label"), MO.Logistic(1.0)]
+    out = EN.Voting(members, "soft").fit(df).transform(df)
+    rows = {r["id"]: r for r in out.collect()}
+    nb = {r["id"]: r["score"] for r in members[0].fit(df).transform(df).collect()}
+    assert all(abs(r["s0"] - nb[i]) < 1e-12 and abs(r["score"] - (r["s0"] + r["s1"]) / 2) < 1e-12 for i, r in rows.items())
+    assert sum(r["pred"] == r["label"] for r in rows.values()) >= 54
+    hard = EN.Voting(members, "hard").fit(df).transform(df).collect()
+    assert all(r["pred"] == int(r["p0"] + r["p1"] > 1) for r in hard)
