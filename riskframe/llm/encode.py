@@ -42,6 +42,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 _BYTES = _byte_letters()
+_BLANK = _BYTES[ord(" ")]
 
 
 class Encoder:
@@ -84,8 +85,13 @@ class Encoder:
         done = {}
         for w in words:
             core = w if self.lowers or w[0] != " " else w[1:]
-            if core.isalpha() and (core.isascii() or _latin(core)) and (not self.lowers or core.islower()):
-                raw = w.encode().decode("latin-1").translate(_BYTES)
+            if core.isalpha() and (not self.lowers or core.islower()):
+                if core.isascii():  # letters stand for themselves
+                    raw = core if core is w else _BLANK + core
+                elif _latin(core):
+                    raw = w.encode().decode("latin-1").translate(_BYTES)
+                else:
+                    continue
                 done[w] = array(kind, [t.id for t in merge(raw)]).tobytes()
         other = [w for w in words if w not in done]
         done.update(zip(other, self._through(other)))

@@ -1,9 +1,9 @@
 """Order-preserving packing of documents into training windows.
 
-Documents are taken in order of their id (null first; ties by text) and laid end
-to end. Window cuts are chosen by dynamic programming over candidate positions:
-the end of a document (free), the end of a sentence (``SENTENCE`` tokens of
-penalty) and, where neither comes for ``STRIDE`` tokens, positions ``STRIDE``
+Documents are taken in order of their id (null first; ties by the first 64
+characters of the text, then by its hash) and laid end to end. Window cuts are
+chosen by dynamic programming over candidate positions: the end of a document
+(free), the end of a sentence (``SENTENCE`` tokens of penalty) and, where neither comes for ``STRIDE`` tokens, positions ``STRIDE``
 apart (``HARD`` tokens of penalty). The cost of a plan is its padding, plus the
 penalties of its cuts, plus ``WINDOW`` per window. A window is padded to
 ``width`` unless its length is a power of two, which needs no padding.
@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import bounded_batches, texts_of
+from riskframe.llm.common import bounded_batches, in_order, texts_of
 from riskframe.llm.encode import Encoder, encoder
 
 SENTENCE, HARD, WINDOW = 2.0, 24.0, 8.0
@@ -157,7 +157,7 @@ def pack(docs: DataFrame, tokenizer_path: str, width: int = 1024, end_id: int =
          key: str = "doc_id", text: str = "text", with_ids: bool = True) -> DataFrame:
     """One row per piece: the columns of ``PIECES`` and, ``with_ids``, ``ids`` as
     little-endian unsigned 32-bit integers, which the checksum is of. Texts are
-    range-partitioned by document id; that is the only shuffle."""
+    range-partitioned (``in_order``); that is the only shuffle."""
     if width < STRIDE or width & (width - 1):
         raise ValueError(f"width must be a power of two, at least {STRIDE}")
     spark = docs.sparkSession
@@ -165,8 +165,7 @@ def pack(docs: DataFrame, tokenizer_path: str, width: int = 1024, end_id: int =
         source = f.read()
     shared = spark.sparkContext.broadcast((source, sentence_ends(encoder(source))))
     bounded_batches(spark)
-    ordered = (texts_of(docs, key, text).repartitionByRange("doc_id")
-               .sortWithinPartitions("doc_id", "text").withColumn("shard", F.spark_partition_id()))
+    ordered = in_order(texts_of(docs, key, text)).withColumn("shard", F.spark_partition_id())
     schema = PIECES + ", ids binary" * with_ids
     names = [x.split()[0] for x in PIECES.split(", ")]
 

@@ -15,8 +15,9 @@ Format (a folder):
 Reading looks up the four lengths of every control byte in a 256-row table,
 turns them into offsets with one cumulative sum and gathers the values.
 
-Documents are ordered by id (null first), ties by text. Null and empty texts
-hold the end id alone. Repeated rows are separate documents. An empty table
+Documents are ordered by id (null first), ties by the first 64 characters
+of the text, then by its hash: different texts of one id spread over tasks. Null
+and empty texts hold the end id alone. Repeated rows are separate documents. An empty table
 gives an empty folder of blocks.
 """
 
@@ -30,11 +31,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import bounded_batches, texts_of
+from riskframe.llm.common import bounded_batches, in_order, texts_of
 from riskframe.llm.encode import encoder
 from riskframe.session import shared_path
 
 BLOCK_TOKENS = 1 << 16
+ENCODED = "shard int, doc_id long, first long, ids binary, counts binary"
 BLOCKS = "shard int, first long, doc_ids array<long>, n_tokens array<long>, control binary, data binary"
 
 
@@ -70,30 +72,35 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 def _encoded(docs: DataFrame, tokenizer_json, end_id: int) -> DataFrame:
     """Ids of every document in order, with the shard (a range of document ids)
-    and the tokens of the shard before the document."""
-    ordered = (docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-               .withColumn("shard", F.spark_partition_id()))
+    and the tokens of the shard before the document. The last row of a task holds
+    how often each id came up in it, in ``counts``; elsewhere that is null."""
+    ordered = in_order(docs).withColumn("shard", F.spark_partition_id())
 
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(tokenizer_json.value)
         wide = np.dtype("<u4")
         end = np.array([end_id], enc.dtype if end_id < 1 << 16 else wide).tobytes()
-        first = 0
+        first, counts, f = 0, np.zeros(max(enc.size, end_id + 1), "<i8"), None
         for f in frames:
             ids = [enc.ids(t) + end for t in f["text"]]
             n = np.array([len(x) // enc.dtype.itemsize for x in ids], np.int64)
             yield pd.DataFrame({"shard": f["shard"], "doc_id": f["doc_id"].astype("Int64"),
-                                "first": first + np.cumsum(n) - n, "ids": ids})
+                                "first": first + np.cumsum(n) - n, "ids": ids, "counts": None})
             first += int(n.sum())
+            for k in range(0, len(ids), 64):
+                counts += np.bincount(np.frombuffer(b"".join(ids[k:k + 64]), enc.dtype), minlength=len(counts))
+        if f is not None:
+            yield pd.DataFrame({"shard": f["shard"].iloc[:1], "doc_id": pd.array([None], "Int64"), "first": first,
+                                "ids": None, "counts": [counts.tobytes()]})
 
-    return ordered.mapInPandas(encode, "shard int, doc_id long, first long, ids binary")
+    return ordered.mapInPandas(encode, ENCODED)
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 1,
                       key: str = "doc_id", text: str = "text") -> None:
     """Encode every whole text with the tokenizers file, append ``end_id`` and
     write the folder ``path``. Texts go through the tokenizer once: the plain ids
-    rest in the shared folder while their frequencies are counted. Only the
+    rest in the shared folder, with the frequencies that each task counted. Only the
     vocabulary (its size is fixed by the tokenizer) passes through the driver."""
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
@@ -105,17 +112,18 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     rest = shared_path(spark, "token-ids")
     (_encoded(texts_of(docs, key, text), shared, end_id)
      .write.option("compression", "zstd").parquet(rest))
-    plain = spark.read.schema("shard int, doc_id long, first long, ids binary").parquet(rest)
+    rows = spark.read.schema(ENCODED).parquet(rest)
+    plain = rows.where("counts is null").drop("counts")
 
     def tally(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n = np.zeros(size, np.int64)
         for f in frames:
-            for ids in f["ids"]:
-                n += np.bincount(np.frombuffer(ids, dtype), minlength=size)
+            for counts in f["counts"]:
+                n += np.frombuffer(counts, "<i8")
         found = np.flatnonzero(n)
         yield pd.DataFrame({"id": found, "n": n[found]})
 
-    counts = (plain.select("ids").mapInPandas(tally, "id long, n long")
+    counts = (rows.where("counts is not null").select("counts").mapInPandas(tally, "id long, n long")
               .groupBy("id").agg(F.sum("n").alias("n")).collect())
     counts.sort(key=lambda r: (-r["n"], r["id"]))
     vocabulary = [(k, r["id"], r["n"]) for k, r in enumerate(counts)]

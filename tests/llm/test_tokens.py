@@ -8,8 +8,10 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from riskframe.llm import packing, token_counts, token_files
+from riskframe.llm.common import in_order
 from riskframe.llm.encode import Encoder
 
 WORD, BYTE = (public_tokenizers.path(x) for x in ("word_bpe_49k.json", "byte_bpe_50k.json"))
@@ -192,3 +194,17 @@ def _models():
 
 
 COUNTER, SP = _models()
+
+
+def test_one_id_with_many_rows_spreads_over_tasks(spark):
+    rows = [(None if i % 3 else i, f"{'shared start ' * 8}{i}") for i in range(2_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    joined = "spark.sql.adaptive.coalescePartitions.enabled"  # small partitions would be joined again
+    spark.conf.set(joined, "false")
+    try:
+        parts = in_order(docs.repartition(4)).withColumn("part", F.spark_partition_id())
+        sizes = [r["count"] for r in parts.where("doc_id is null").groupBy("part").count().collect()]
+    finally:
+        spark.conf.unset(joined)
+    assert len(sizes) > 1 and sum(sizes) == sum(d is None for d, _ in rows)
+    assert max(sizes) < 1_000
