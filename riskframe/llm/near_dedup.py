@@ -17,9 +17,10 @@ share a bucket; a pair of similarity 0.8 shares none of the 20 buckets with a
 probability of 3e-5. Within buckets, exact similarity decides: a node is compared
 as a centre with all nodes of other components, most connected nodes first, until
 no uncompared pair joins two components. Buckets over ``BLOCK`` nodes are dealt
-into blocks; the bucket's ``PIVOTS`` most connected nodes visit every block, and
-afterwards each node outside the bucket's largest component visits every block
-too, so pairs across blocks are covered. A class is a connected component of the
+into blocks; the bucket's ``PIVOTS`` most connected nodes visit every block. Pairs
+of other components across blocks are covered afterwards: the nodes of such buckets
+meet once more where they share a rare shingle (``rare_links``), so that pages with
+a common template are not compared with each other all over. A class is a connected component of the
 links; its id is the smallest document id in it.
 
 Every input row gives one row ``(doc_id, class_id)``. Null and empty texts have
@@ -43,6 +44,8 @@ from riskframe.llm.shingles import shingle_hashes
 from riskframe.session import written
 
 BLOCK, PIVOTS = 128, 8
+#: Copies of the row of a shared element, so that a frequent one meets its nodes in many tasks.
+SALTS = 16
 _ONE = np.float64(2.0 ** -53)
 
 
@@ -183,6 +186,57 @@ def connected(edges: DataFrame) -> DataFrame:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+def rare_links(nodes: DataFrame, threshold: float) -> DataFrame:
+    """``(a, b)``: links that, with the known components, connect everything among
+    ``nodes (node, root, elements)`` that exact similarity connects.
+
+    A node's shared elements are put in order of frequency, rarest first. Two similar
+    sets have a common element among the first ``size - threshold * size + 1`` of the
+    larger (its probes) and the first ``size - 2 threshold / (1 + threshold) * size + 1``
+    of the smaller (its index). So nodes meet in the cells of these elements only; what
+    a template gives to all its pages comes last, in a cell that few of them index."""
+    def explode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            held = [np.frombuffer(x, np.int64) for x in f["elements"]]
+            size = np.array([len(x) for x in held], np.int64)
+            yield pd.DataFrame({"element": np.concatenate(held) if held else np.zeros(0, np.int64),
+                                "node": np.repeat(f["node"].to_numpy(), size),
+                                "root": np.repeat(f["root"].to_numpy(), size), "size": np.repeat(size, size)})
+
+    rows = nodes.mapInPandas(explode, "element long, node long, root long, size long")
+    shared = (rows.groupBy("element").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+              .where("n > 1").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    own = Window.partitionBy("node")
+    size = F.col("size")
+    ranked = (rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(shared, ["element", "salt"])
+              # elements of one node alone come first in the order
+              .withColumn("place", size - F.count("*").over(own) + F.row_number().over(own.orderBy("n", "element")))
+              .where((F.col("place") <= size - F.ceil(threshold * size - 1e-9) + 1) & (F.col("lo") != F.col("hi")))
+              .withColumn("index", F.col("place") <= size - F.ceil(2 * threshold / (1 + threshold) * size - 1e-9) + 1))
+    places = written(ranked.select("element", "node", "root", "index"), "places")
+    # of cells with the same nodes and the same index, one
+    mark = F.struct("node", "index")
+    cells = (places.groupBy("element").agg(
+        F.count("*").alias("m"), F.bit_xor(F.xxhash64(mark)).alias("x"), F.bit_xor(F.xxhash64(mark, F.lit(1))).alias("y"),
+        F.max("index").alias("any"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("any and lo <> hi")
+        .groupBy("m", "x", "y").agg(F.min("element").alias("element")))
+    placed = (places.join(cells.select("element", F.ceil(F.col("m") / F.lit(BLOCK)).cast("int").alias("blocks")), "element")
+              .join(nodes.select("node", "elements"), "node")
+              .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
+    visits = (placed.where("index and blocks > 1").withColumn("home", F.col("block"))
+              .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("block <> home").drop("home"))
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        # index nodes are the centres
+        parts = [np.frombuffer(x, np.uint64) for x in frame["elements"]]
+        order = np.flatnonzero(frame["index"].to_numpy())
+        found = links(frame["node"].to_numpy(), parts, order, threshold, frame["root"].to_numpy())
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return (placed.unionByName(visits).select("element", "block", "node", "root", "index", "elements")
+            .groupBy("element", "block").applyInPandas(compare, "a long, b long"))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, words: int = 5, bands: int = 20,
                     rows: int = 4, counted: bool = False, key: str = "doc_id",
                     text: str = "text") -> DataFrame:
@@ -256,28 +310,14 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, words: int = 5, ban
                     .groupBy("bucket", "block").applyInPandas(compare, "a long, b long"), "links")
     roots = written(connected(edges), "roots")
 
-    # buckets of several blocks: nodes outside the largest component visit all blocks
-    wide = (placed.where("blocks > 1").join(roots, "node", "left")
+    # buckets of several blocks that hold several components
+    wide = (members.where(F.col("m") > BLOCK).select("bucket", "node").join(roots, "node", "left")
             .withColumn("root", F.coalesce("root", "node")))
-    parts = wide.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    main = parts.groupBy("bucket").agg(F.max(F.struct("n", "root"))["root"].alias("main"),
-                                       F.count("*").alias("parts")).where("parts > 1")
-    open_ = written(wide.join(main.select("bucket", "main"), "bucket")
-                    .withColumn("probe", F.col("root") != F.col("main")), "open")
+    mixed = wide.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    open_ = written(wide.join(mixed, "bucket", "left_semi").select("node", "root").distinct()
+                    .join(sets.select("node", "elements"), "node"), "open")
     if not open_.isEmpty():
-        probes = (open_.where("probe").withColumn("home", F.col("block"))
-                  .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                  .where("block <> home").drop("home"))
-
-        def probe(frame: pd.DataFrame) -> pd.DataFrame:
-            # probes are the centres; pairs of two others are in one component
-            parts = [np.frombuffer(x, np.uint64) for x in frame["elements"]]
-            order = np.flatnonzero(frame["probe"].to_numpy())
-            found = links(frame["node"].to_numpy(), parts, order, threshold, frame["root"].to_numpy())
-            return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-        more = written(open_.unionByName(probes).select("bucket", "block", "node", "root", "probe", "elements")
-                       .groupBy("bucket", "block").applyInPandas(probe, "a long, b long"), "links")
+        more = written(rare_links(open_, threshold), "links")
         if not more.isEmpty():
             stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
             roots = written(connected(stars.unionByName(more)), "roots")
