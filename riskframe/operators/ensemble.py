@@ -14,6 +14,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.operators.isotonic import Isotonic
+
 
 def _base_score(model, df: DataFrame, i: int) -> DataFrame:
     """Apply one fitted model, keeping its score/pred as ``s{i}``/``p{i}``: the
@@ -113,16 +115,14 @@ class Calibrate:
         self.fold_col, self.folds, self.label = fold_col, folds, label
 
     def fit(self, df: DataFrame) -> "CalibratedModel":
-        from pyspark.ml.regression import IsotonicRegression
         parts = [_base_score(self.estimator.fit(df.where(F.col(self.fold_col) != f)),
                              df.where(F.col(self.fold_col) == f), 0) for f in range(self.folds)]
-        oof = VectorAssembler(inputCols=["s0"], outputCol="_cal").transform(
-            reduce(lambda a, b: a.unionByName(b), parts))
+        oof = reduce(lambda a, b: a.unionByName(b), parts)
         if self.method == "isotonic":
-            cal = IsotonicRegression(featuresCol="_cal", labelCol=self.label,
-                                     predictionCol="_iso").fit(oof)
+            cal = Isotonic("s0", self.label, "_iso").fit(oof)
         else:
-            cal = LogisticRegression(featuresCol="_cal", labelCol=self.label).fit(oof)
+            cal = LogisticRegression(featuresCol="_cal", labelCol=self.label).fit(
+                VectorAssembler(inputCols=["s0"], outputCol="_cal").transform(oof))
         return CalibratedModel(self.estimator.fit(df), cal, self.method)
 
 
@@ -131,9 +131,10 @@ class CalibratedModel:
         self.base, self.cal, self.method = base, cal, method
 
     def transform(self, df: DataFrame) -> DataFrame:
-        out = VectorAssembler(inputCols=["s0"], outputCol="_cal").transform(_base_score(self.base, df, 0))
-        out = self.cal.transform(out)
+        out = _base_score(self.base, df, 0)
         if self.method == "isotonic":
-            return out.withColumn("score", F.col("_iso")).withColumn("pred", (F.col("_iso") >= 0.5).cast("int"))
+            return (self.cal.transform(out).withColumn("score", F.col("_iso"))
+                    .withColumn("pred", (F.col("_iso") >= 0.5).cast("int")))
+        out = self.cal.transform(VectorAssembler(inputCols=["s0"], outputCol="_cal").transform(out))
         return (out.withColumn("score", vector_to_array(F.col("probability"))[1])
                 .withColumn("pred", F.col("prediction").cast("int")))

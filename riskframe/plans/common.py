@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskframe.functions.hashing import uniform_hash
 from riskframe.functions.numeric import sig_round
 from riskframe.sources import tables
 
@@ -38,8 +40,9 @@ def scored_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(policy_id, label, score) with a deterministic score computed from the
     row (a hash term plus a feature term, many ties), so every metric can be
     checked against SQL before any model exists."""
-    from pyspark.sql import functions as F
-    from riskframe.functions.hashing import uniform_hash
     p = policies(spark, sf_dir)
-    score = (F.floor(uniform_hash(tables.KEY, SCORE_SEED) * 50) + F.col("n_lines") * 10) / 130
-    return p.select(tables.KEY, F.col(tables.LABEL).alias("label"), score.alias("score"))
+    return p.select(tables.KEY, F.col(tables.LABEL).alias("label"), fixture_score().alias("score"))
+
+
+def fixture_score() -> Column:
+    return (F.floor(uniform_hash(tables.KEY, SCORE_SEED) * 50) + F.col("n_lines") * 10) / 130

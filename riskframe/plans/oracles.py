@@ -375,6 +375,17 @@ UNION ALL BY NAME
 SELECT {S(_ACC)} AS accuracy, {S(_PRE)} AS precision_1, {S(_REC)} AS recall_1, {S(_F1)} AS f1_1,
        tp, fp, tn, fn, 'single' AS "group" FROM (SELECT {_cells_sql(0.3)} FROM scored)""")
 
+# the largest, over all starts, of the smallest mean over all ends
+oracle("isotonic_fit", _SCORED + f"""
+, pts AS (SELECT score, count(*) AS n, CAST(sum(label) AS BIGINT) AS y FROM scored GROUP BY 1),
+c AS (SELECT *, row_number() OVER (ORDER BY score) AS i, sum(n) OVER (ORDER BY score) AS cn, sum(y) OVER (ORDER BY score) AS cy FROM pts),
+m AS (SELECT a.i AS j, b.i AS k, CAST(b.cy - a.cy + a.y AS DOUBLE) / CAST(b.cn - a.cn + a.n AS DOUBLE) AS mean
+      FROM c a JOIN c b ON b.i >= a.i),
+lo AS (SELECT k AS i, min(mean) OVER (PARTITION BY j ORDER BY k DESC) AS v FROM m),
+iso AS (SELECT i, max(v) AS v FROM lo GROUP BY i)
+SELECT {S('score')} AS score, n, y AS n_pos, {S('v')} AS calibrated FROM c JOIN iso USING (i)""")
+oracle("score_stream_restart", _SCORED + f"SELECT policy_id, label, {S('score')} AS score FROM scored")
+
 
 # --- model-side queries that SQL can express --------------------------------------
 

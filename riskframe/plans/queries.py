@@ -156,7 +156,7 @@ def q_category_diff(spark, sf):
 from riskframe.functions import measures as M  # noqa: E402
 from riskframe.functions.numeric import abs_round  # noqa: E402
 from riskframe.operators import features as FE, sampling as SA, evaluate as EV  # noqa: E402
-from riskframe.plans.common import scored_fixture  # noqa: E402
+from riskframe.plans.common import fixture_score, scored_fixture  # noqa: E402
 
 OUTLIER_COLUMNS = ["age_of_car", "age_of_policyholder", "policy_tenure"]
 SCALE_COLUMNS = NUMERIC_COLUMNS
@@ -784,6 +784,34 @@ def vector_to_array_col(name):
     return vector_to_array(F.col(name))
 
 
+@query("isotonic_fit")
+def q_isotonic_fit(spark, sf):
+    """Calibrated value of every distinct score."""
+    from riskframe.operators.isotonic import Isotonic
+    scored = scored_fixture(spark, sf)
+    points = scored.groupBy("score").agg(F.count("*").alias("n"), F.sum("label").cast("long").alias("n_pos"))
+    return rounded(Isotonic().fit(scored).transform(points))
+
+
+@query("score_stream_restart")
+def q_score_stream_restart(spark, sf):
+    """A stream of the policies in many files, stopped after its first batch and started
+    anew, and a third time when late files have come."""
+    import uuid
+    from riskframe.session import ensure_checkpoint_dir
+    from riskframe.streaming.scoring import run_to_files
+    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/score_stream_{uuid.uuid4().hex}"
+    rows = policies(spark, sf).select(KEY, F.col(LABEL).alias("label"), "n_lines")
+    late = F.col("n_lines") >= 5
+    rows.where(~late).repartition(4).write.parquet(base + "/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(base + "/in")
+    scored = stream.select(KEY, "label", fixture_score().alias("score"))
+    run_to_files(scored, base + "/out", base + "/ckpt", batches=1)
+    run_to_files(scored, base + "/out", base + "/ckpt")
+    rows.where(late).repartition(2).write.mode("append").parquet(base + "/in")
+    return rounded(run_to_files(scored, base + "/out", base + "/ckpt"))
+
+
 @query("select_columns")
 def q_select_columns(spark, sf):
     """Selection by a boolean mask over the columns (every other column)."""
