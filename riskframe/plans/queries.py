@@ -156,6 +156,7 @@ def q_category_diff(spark, sf):
 from riskframe.functions import measures as M  # noqa: E402
 from riskframe.functions.numeric import abs_round  # noqa: E402
 from riskframe.operators import features as FE, sampling as SA, evaluate as EV  # noqa: E402
+from riskframe.session import written  # noqa: E402
 from riskframe.plans.common import fixture_score, scored_fixture  # noqa: E402
 
 OUTLIER_COLUMNS = ["age_of_car", "age_of_policyholder", "policy_tenure"]
@@ -628,24 +629,50 @@ def q_smote_in_folds(spark, sf):
     return rounded(SA.smote_in_folds(p, KEY, LABEL, SMOTE_COLUMNS, "fold", k=5))
 
 
-@query("grid_search_smote")
-def q_grid_search_smote(spark, sf):
-    """Logistic regression over C with SMOTE inside every training fold."""
+def _smote_folds(spark, sf):
+    """The training rows with folds and one column per feature, the names of these, and the
+    synthetic rows of every fold's training set."""
     tr, _, _ = _prepared(spark, sf)
     names = [f"f{i}" for i in range(len(tr.first()["features"]))]
     f = CL.as_vectors(CL.with_folds(tr, 5)).select(KEY, "label", "fold", *[F.col("vec")[i].alias(n) for i, n in enumerate(names)])
-    made = FE.assemble(SA.smote_in_folds(f, KEY, "label", names, "fold", k=5), names).select("excluded", KEY, "label", "features").persist()
-    results, _, _ = TU.grid_search(lambda C: MO.Logistic(C=C), {"C": [0.1, 0.5, 1.0]}, FE.assemble(f, names), KEY,
-                                   refit_best=False, synthetic=made)
+    return f, names, written(SA.smote_in_folds(f, KEY, "label", names, "fold", k=5), "synthetic")
+
+
+@query("grid_search_smote")
+def q_grid_search_smote(spark, sf):
+    """Logistic regression over C with SMOTE inside every training fold."""
+    f, names, made = _smote_folds(spark, sf)
+    results, _, _ = TU.grid_search(lambda C: MO.Logistic(C=C), {"C": [0.1, 0.5, 1.0]}, FE.assemble(f, names), KEY, refit_best=False,
+                                   synthetic=FE.assemble(made, names).select("excluded", KEY, "label", "features"))
     return results
 
 
+@query("grid_search_tree_smote")
+def q_grid_search_tree_smote(spark, sf):
+    """Decision trees over impurity, depth and smallest split with SMOTE inside every training fold."""
+    f, names, made = _smote_folds(spark, sf)
+    results, _, _ = TU.grid_search(lambda **c: MO.Tree(**c), TREE_GRID, FE.assemble(f, names), KEY, refit_best=False,
+                                   synthetic=FE.assemble(made, names).select("excluded", KEY, "label", "features"))
+    return results
+
+
+@query("knn_grid_smote")
+def q_knn_grid_smote(spark, sf):
+    """16 candidates on 5 folds, each with the synthetic rows made without the fold; two joins a metric."""
+    f, names, made = _smote_folds(spark, sf)
+    vec = F.array(*names).alias("vec")
+    return rounded(KN.knn_grid(f.select(KEY, "label", "fold", vec), *KNN_GRID, key=KEY, vec="vec", label="label",
+                               synthetic=made.select("excluded", KEY, "label", vec)))
+
+
+TREE_GRID = {"impurity": ["gini", "entropy"], "depth": [5, 10, 20], "min_split": [2, 10]}
+
+
 @query("grid_search_tree")
 def q_grid_search_tree(spark, sf):
     """Balanced decision trees over impurity, depth and smallest split, 5 folds."""
     tr, _, _ = _prepared(spark, sf)
-    grid = {"impurity": ["gini", "entropy"], "depth": [5, 10, 20], "min_split": [2, 10]}
-    results, _, _ = TU.grid_search(lambda impurity, depth, min_split: SA.WeighThenFit(MO.Tree(impurity, depth, min_split, weight_col="w")), grid,
+    results, _, _ = TU.grid_search(lambda impurity, depth, min_split: SA.WeighThenFit(MO.Tree(impurity, depth, min_split, weight_col="w")), TREE_GRID,
                                    CL.with_folds(tr, 5), KEY, refit_best=False)
     return results
 
