@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.operators.isotonic import Isotonic
+from riskframe.session import side_by_side
 
 
 def _base_score(model, df: DataFrame, i: int) -> DataFrame:
@@ -47,7 +48,7 @@ class Voting:
         self.estimators, self.mode = estimators, mode
 
     def fit(self, df: DataFrame) -> "VotingModel":
-        models = [e.fit(df) for e in self.estimators]
+        models = side_by_side(lambda e: e.fit(df), self.estimators, df)
         if self.mode == "soft":
             out = [m.transform(df).columns for m in models]
             if any("probability" not in c and "score" not in c for c in out):
@@ -77,19 +78,19 @@ class Stacking:
         self.meta = meta or LogisticRegression(featuresCol="_meta", labelCol=label)
 
     def fit(self, df: DataFrame) -> "StackingModel":
+        n = len(self.estimators)
+        jobs = [(f, e) for f in [*range(self.folds), None] for e in self.estimators]
+        models = side_by_side(lambda j: j[1].fit(df if j[0] is None else df.where(F.col(self.fold_col) != j[0])), jobs, df)
         parts = []
         for f in range(self.folds):
-            train, held = df.where(F.col(self.fold_col) != f), df.where(F.col(self.fold_col) == f)
-            out = held
-            for i, e in enumerate(self.estimators):
-                out = _base_score(e.fit(train), out, i)
+            out = df.where(F.col(self.fold_col) == f)
+            for i in range(n):
+                out = _base_score(models[f * n + i], out, i)
             parts.append(out)
         oof = reduce(lambda a, b: a.unionByName(b), parts)
-        n = len(self.estimators)
         meta_in = VectorAssembler(inputCols=[f"s{i}" for i in range(n)], outputCol="_meta").transform(oof)
         meta = self.meta.fit(meta_in)
-        bases = [e.fit(df) for e in self.estimators]
-        return StackingModel(bases, meta)
+        return StackingModel(models[self.folds * n:], meta)
 
 
 class StackingModel:
@@ -107,23 +108,25 @@ class StackingModel:
 
 class Calibrate:
     """Platt scaling ('sigmoid': one-feature logistic regression on the score)
-    or isotonic regression, fitted on out-of-fold scores."""
+    or isotonic regression, fitted on out-of-fold scores. ``width``: features that the
+    estimator makes of a row, which bounds the fits in flight."""
 
     def __init__(self, estimator, method: str = "sigmoid", fold_col: str = "fold", folds: int = 3,
-                 label: str = "label"):
-        self.estimator, self.method = estimator, method
+                 label: str = "label", width: int = 20):
+        self.estimator, self.method, self.width = estimator, method, width
         self.fold_col, self.folds, self.label = fold_col, folds, label
 
     def fit(self, df: DataFrame) -> "CalibratedModel":
-        parts = [_base_score(self.estimator.fit(df.where(F.col(self.fold_col) != f)),
-                             df.where(F.col(self.fold_col) == f), 0) for f in range(self.folds)]
+        models = side_by_side(lambda f: self.estimator.fit(df if f is None else df.where(F.col(self.fold_col) != f)),
+                              [*range(self.folds), None], df, width=self.width)
+        parts = [_base_score(models[f], df.where(F.col(self.fold_col) == f), 0) for f in range(self.folds)]
         oof = reduce(lambda a, b: a.unionByName(b), parts)
         if self.method == "isotonic":
             cal = Isotonic("s0", self.label, "_iso").fit(oof)
         else:
             cal = LogisticRegression(featuresCol="_cal", labelCol=self.label).fit(
                 VectorAssembler(inputCols=["s0"], outputCol="_cal").transform(oof))
-        return CalibratedModel(self.estimator.fit(df), cal, self.method)
+        return CalibratedModel(models[-1], cal, self.method)
 
 
 class CalibratedModel:

@@ -16,22 +16,23 @@ from pyspark.sql import functions as F
 
 from riskframe.operators.evaluate import curve_summary, model_curves, _cells, _metric_cols
 from riskframe.operators.models import scored
-from riskframe.session import written
+from riskframe.session import side_by_side, written
 
 
 def out_of_fold(estimators: dict, df: DataFrame, key: str, folds: list[int], fold: str = "fold", label: str = "label",
                 synthetic: DataFrame | None = None) -> DataFrame:
     """(key, fold, label, model, score) of every row and model. ``synthetic``: rows with a
     column ``excluded`` that join the training rows of the fold they name, never the scored."""
-    parts = []
-    for f in folds:
+    def one(job):
+        f, name = job
         train, held = df.where(F.col(fold) != f), df.where(F.col(fold) == f)
         if synthetic is not None:
             extra = synthetic.where(F.col("excluded") == f).drop("excluded")
             train = train.select(*extra.columns).unionByName(extra)
-        for name, estimator in estimators.items():
-            parts.append(scored(estimator.fit(train), held, key, label).select(
-                key, F.lit(f).alias("fold"), "label", F.lit(name).alias("model"), F.col("score").cast("double").alias("score")))
+        return scored(estimators[name].fit(train), held, key, label).select(
+            key, F.lit(f).alias("fold"), "label", F.lit(name).alias("model"), F.col("score").cast("double").alias("score"))
+
+    parts = side_by_side(one, [(f, name) for f in folds for name in estimators], df)
     return written(reduce(DataFrame.unionByName, parts), "oof")
 
 
@@ -50,8 +51,8 @@ def report(estimators: dict, thresholds: DataFrame, train: DataFrame, test: Data
            which: str = "best_threshold", label: str = "label") -> DataFrame:
     """Metrics on the test rows of every model, refitted on all training rows, at the
     threshold chosen before; all models in one aggregation."""
-    parts = [scored(e.fit(train), test, key, label).select("label", F.lit(name).alias("model"), F.col("score").cast("double").alias("score"))
-             for name, e in estimators.items()]
+    parts = side_by_side(lambda e: scored(e[1].fit(train), test, key, label).select(
+        "label", F.lit(e[0]).alias("model"), F.col("score").cast("double").alias("score")), list(estimators.items()), train)
     rows = reduce(DataFrame.unionByName, parts).join(thresholds.select("model", F.col(which).alias("threshold")), "model")
     cells = (rows.withColumn("pred", (F.col("score") >= F.col("threshold")).cast("int")).groupBy("model", "threshold")
              .agg(*_cells("label", "pred")))
