@@ -78,3 +78,15 @@ def test_wide_fits_run_one_by_one(spark):
 
     assert side_by_side(fit, [1, 2, 3], spark.range(10), width=10 ** 12) == [2, 4, 6]
     assert max(most) == 1
+
+
+def test_resampled_rows_are_written_and_dealt(spark):
+    from pyspark.ml.functions import array_to_vector
+    from riskframe.plans.queries import _smote_rows
+    x = F.array((F.col("id") % 11).cast("double"), (F.col("id") % 5).cast("double"))
+    rows = spark.range(90, numPartitions=30).select(F.concat(F.lit("k"), "id").alias("policy_id"),
+                                                    (F.col("id") % 9 == 0).cast("double").alias("label"), array_to_vector(x).alias("features"))
+    made = _smote_rows(rows)
+    assert made.groupBy("label").count().orderBy("label").collect() == [(0.0, 80), (1.0, 80)]
+    assert made.rdd.getNumPartitions() == 1
+    made.unpersist()
