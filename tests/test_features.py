@@ -72,3 +72,20 @@ def test_select_k_best(spark):
     df = spark.createDataFrame(rows, "good double, noise double, y int")
     m = FE.SelectKBest(["good", "noise"], "y", k=1).fit(df)
     assert m.selected == ["good"]
+
+
+def test_anova_of_many_features_is_one_narrow_aggregate(spark):
+    cols = [f"x{i}" for i in range(43)]
+    df = spark.range(300).select((F.col("id") % 3).alias("y"), *[
+        F.when(F.col("id") % (i + 2) != 0, (F.col("id") * (i + 3)) % (11 + i)).cast("double").alias(c) for i, c in enumerate(cols)])
+    found = FE.anova_f_scores(df, cols, "y")
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("var_pop(") <= 2 * FE.ANOVA_WIDTH  # read twice
+    f = {r["feature"]: r["f_score"] for r in found.collect()}
+    assert sorted(f) == sorted(cols)
+    p = df.toPandas()
+    for c in cols:
+        groups = [g[c].dropna() for _, g in p.groupby("y") if g[c].notna().any()]
+        n, mean = sum(map(len, groups)), p[c].mean()
+        between = sum(len(g) * (g.mean() - mean) ** 2 for g in groups) / (len(groups) - 1)
+        inside = sum(((g - g.mean()) ** 2).sum() for g in groups) / (n - len(groups))
+        assert f[c] == (pytest.approx(between / inside, rel=1e-9, abs=1e-12) if inside else None)
