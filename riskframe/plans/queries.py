@@ -531,8 +531,10 @@ def q_svm_rbf(spark, sf):
 
 
 def _svm_probability(spark, sf, kind, machine, width=20):
-    """Probabilities of a machine by Platt scaling of its out-of-fold margins."""
+    """Probabilities of a machine by Platt scaling of its out-of-fold margins. ``width``: features
+    that it makes of a row, or a function of the training rows that tells."""
     tr, te, _ = _prepared(spark, sf)
+    width = width(tr) if callable(width) else width
     model, fit_s = EV.timed_fit(EN.Calibrate(machine, "sigmoid", folds=3, width=width), CL.with_folds(tr, 3))
     out = model.transform(te).select(KEY, F.col("label").cast("int").alias("label"), "score", "pred")
     return CL.metrics_row(spark, kind, out, fit_s)
@@ -545,7 +547,7 @@ def q_svm_probability(spark, sf):
 
 @query("svm_probability_poly")
 def q_svm_probability_poly(spark, sf):
-    return _svm_probability(spark, sf, "svm_probability_poly", MO.PolySvm(C=1.0, degree=3), 2000)
+    return _svm_probability(spark, sf, "svm_probability_poly", MO.PolySvm(C=1.0, degree=3), MO.poly_width)
 
 
 @query("svm_probability_rbf")

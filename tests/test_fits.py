@@ -90,3 +90,11 @@ def test_resampled_rows_are_written_and_dealt(spark):
     assert made.groupBy("label").count().orderBy("label").collect() == [(0.0, 80), (1.0, 80)]
     assert made.rdd.getNumPartitions() == 1
     made.unpersist()
+
+
+def test_poly_width_counts_the_terms_that_are_kept(spark):
+    from pyspark.ml.linalg import Vectors
+    from riskframe.operators.models import poly_width
+    rows = spark.createDataFrame([(Vectors.sparse(22, [1, 5], [2.0, 3.0]),), (Vectors.sparse(22, [0, 9], [1.0, 1.0]),)], ["features"])
+    assert poly_width(rows, 3) == 15  # 10 terms of two features up to degree 3
+    assert poly_width(rows.limit(0), 3) == 1
