@@ -98,3 +98,24 @@ def test_poly_width_counts_the_terms_that_are_kept(spark):
     rows = spark.createDataFrame([(Vectors.sparse(22, [1, 5], [2.0, 3.0]),), (Vectors.sparse(22, [0, 9], [1.0, 1.0]),)], ["features"])
     assert poly_width(rows, 3) == 15  # 10 terms of two features up to degree 3
     assert poly_width(rows.limit(0), 3) == 1
+
+
+class Partitions:
+    seen: list = []
+
+    def fit(self, df):
+        Partitions.seen.append(df.rdd.getNumPartitions())
+        return self
+
+    def transform(self, df):
+        return df.withColumn("score", F.lit(0.5)).withColumn("pred", F.lit(1))
+
+
+def test_synthetic_rows_add_no_tasks_to_a_fit(spark):
+    from riskframe.operators.tuning import grid_search
+    slots = spark.sparkContext.defaultParallelism
+    rows = _folds(spark).repartition(slots)
+    made = rows.withColumn("excluded", F.col("fold")).drop("fold").repartition(3 * slots)
+    Partitions.seen.clear()
+    grid_search(lambda: Partitions(), [{}], rows, "id", folds=3, refit_best=False, synthetic=made.select("excluded", "id", "x", "label"))
+    assert len(Partitions.seen) == 3 and max(Partitions.seen) <= slots
