@@ -73,3 +73,28 @@ def test_smote_in_folds_equals_smote_of_each_training_set(spark):
         assert all(not 1000 * e <= a <= 1000 * e + 1 for _, a, _ in by_fold[e])
     with pytest.raises(ValueError):
         SA.smote_in_folds(df, "id", "y", ["a", "b"], "fold", k=25)
+
+
+def _policies_file(spark, tmp_path):
+    rows = [(None if i == 1 else f"p{i}", int(i % 6 == 0), float(i * i % 97), float(i * 7 % 31)) for i in range(120)]
+    path = str(tmp_path / "rows.parquet")
+    spark.createDataFrame(rows, "id string, y int, a double, b double").write.parquet(path)
+    return spark.read.parquet(path), path
+
+
+def test_synthetic_rows_of_folds_come_from_the_written_minority(spark, tmp_path):
+    """The join, the cuts and the result do not read all rows again."""
+    df, path = _policies_file(spark, tmp_path)
+    folds = SA.stratified_kfold(df.where("id is not null"), "id", "y", 5, 17)
+    made = SA.smote_in_folds(folds, "id", "y", ["a", "b"], "fold", k=3)
+    assert not [f for f in made.inputFiles() if path in f]
+    assert made.count() == made.select("excluded", "id").distinct().count() > 0
+
+
+def test_smote_keeps_the_rows_asked_for(spark, tmp_path):
+    df, _ = _policies_file(spark, tmp_path)
+    whole = SA.smote(df, "id", "y", ["a", "b"], k=3)
+    some = SA.smote(df, "id", "y", ["a", "b"], k=3, keep=F.col("id").isNull())
+    added = whole.join(df.select("id"), "id", "left_anti")
+    assert sorted(map(str, some.collect())) == sorted(map(str, added.collect()))
+    assert whole.count() == some.count() + 119
