@@ -42,7 +42,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 _BYTES = _byte_letters()
-_BLANK = _BYTES[ord(" ")]
+_BLANK, _BREAK = _BYTES[ord(" ")], _BYTES[ord("\n")]
 
 
 class Encoder:
@@ -93,8 +93,12 @@ class Encoder:
                 else:
                     continue
                 done[w] = array(kind, [t.id for t in merge(raw)]).tobytes()
+            elif not self.lowers and w[0] == "\n" and (core := w[1:]).isalpha() and core.isascii():
+                # a line break before letters is a pre-token of its own
+                done[w] = array(kind, [t.id for part in (_BREAK, core) for t in merge(part)]).tobytes()
         other = [w for w in words if w not in done]
-        done.update(zip(other, self._through(other)))
+        if other:
+            done.update(zip(other, self._through(other)))
         return [done[w] for w in words]
 
     def _through(self, words: list[str]) -> list[bytes]:

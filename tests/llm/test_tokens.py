@@ -208,3 +208,16 @@ def test_one_id_with_many_rows_spreads_over_tasks(spark):
         spark.conf.unset(joined)
     assert len(sizes) > 1 and sum(sizes) == sum(d is None for d, _ in rows)
     assert max(sizes) < 1_000
+
+
+def test_a_line_break_before_letters_goes_to_the_merges():
+    """Words that open a line are as common as lines: they do not pass the whole tokenizer."""
+    import public_tokenizers
+    from riskframe.llm.encode import Encoder
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        enc = Encoder(f.read())
+    through, enc._through = enc._through, lambda words: pytest.fail(f"whole tokenizer for {words}")
+    assert enc.ids("The\nend and\nThen") == through(["The\nend and\nThen"])[0]
+    enc._through = through
+    for text in ("\n", "a\n\nAbc", "x \nAbc", "\nAb1", "\nÄb c", " \nAb", "\n Ab\nc"):
+        assert enc.ids(text) == through([text])[0]
