@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.operators.isotonic import Isotonic
+from riskframe.operators.machines import MappedSvm, fit_folds
 from riskframe.session import side_by_side
 
 
@@ -117,8 +118,11 @@ class Calibrate:
         self.fold_col, self.folds, self.label = fold_col, folds, label
 
     def fit(self, df: DataFrame) -> "CalibratedModel":
-        models = side_by_side(lambda f: self.estimator.fit(df if f is None else df.where(F.col(self.fold_col) != f)),
-                              [*range(self.folds), None], df, width=self.width)
+        if isinstance(self.estimator, MappedSvm):  # the fits share their passes over the rows
+            models = fit_folds([(self.estimator, f) for f in [*range(self.folds), None]], df, self.fold_col)
+        else:
+            models = side_by_side(lambda f: self.estimator.fit(df if f is None else df.where(F.col(self.fold_col) != f)),
+                                  [*range(self.folds), None], df, width=self.width)
         parts = [_base_score(models[f], df.where(F.col(self.fold_col) == f), 0) for f in range(self.folds)]
         oof = reduce(lambda a, b: a.unionByName(b), parts)
         if self.method == "isotonic":
