@@ -92,6 +92,17 @@ def test_resampled_rows_are_written_and_dealt(spark):
     made.unpersist()
 
 
+def test_resampled_rows_are_read_from_their_files(spark):
+    from pyspark.ml.functions import array_to_vector
+    from riskframe.plans.queries import _smote_rows
+    x = F.array((F.col("id") % 11).cast("double"), (F.col("id") % 5).cast("double"))
+    made = _smote_rows(spark.range(90, numPartitions=30).select(F.concat(F.lit("k"), "id").alias("policy_id"),
+                                                                (F.col("id") % 9 == 0).cast("double").alias("label"), array_to_vector(x).alias("features")))
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and not (made.storageLevel.useMemory or made.storageLevel.useDisk)
+    assert made.count() == 160 and made.rdd.getNumPartitions() == 1
+
+
 def test_poly_width_counts_the_terms_that_are_kept(spark):
     from pyspark.ml.linalg import Vectors
     from riskframe.operators.models import poly_width
